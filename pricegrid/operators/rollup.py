@@ -12,12 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricegrid.functions.keys import natural_key
+from pricegrid.session import cut_lineage
 
 PCTS = [0.1, 0.5, 0.9]
 
 
 def price_stats(price: str = "sale_price", station: str = "reseller_cnpj") -> list:
-    p = F.percentile(F.col(price), PCTS)
+    # DOUBLE keys make the value->count buffer cheaper to hash and serialise
+    # than DECIMAL keys; Spark interpolates in DOUBLE either way.
+    p = F.percentile(F.col(price).cast("double"), PCTS)
     return [
         F.count(F.lit(1)).alias("observations"),
         F.count_distinct(station).alias("stations"),
@@ -69,14 +72,19 @@ def weekly_unmarked(fact: DataFrame, dim_station: DataFrame, dim_city: DataFrame
 
 def mark_edges(agg: DataFrame, week: str = "survey_week_key") -> DataFrame:
     """Flag the first and last week of the series; nothing is removed.
-    min and max are scalar subqueries (merged into one by the optimizer)."""
+    min and max are scalar subqueries (merged into one by the optimizer)
+    over ``agg``; pass a materialised aggregate so they do not re-run it."""
     lo = agg.agg(F.min(week)).scalar()
     hi = agg.agg(F.max(week)).scalar()
     return agg.withColumn("is_edge_week", F.col(week).isin(lo, hi))
 
 
-def weekly(fact, dim_station, dim_city, dim_date) -> DataFrame:
-    return mark_edges(weekly_unmarked(fact, dim_station, dim_city, dim_date))
+def weekly(fact, dim_station, dim_city, dim_date, materialise: bool = True) -> DataFrame:
+    """Rollup + edge flag. The unmarked aggregate (orders of magnitude smaller
+    than the fact) is checkpointed first, so the edge bounds read it instead
+    of re-running the fact joins inside the scalar subqueries."""
+    agg = weekly_unmarked(fact, dim_station, dim_city, dim_date)
+    return mark_edges(cut_lineage(agg) if materialise else agg)
 
 
 def weekly_raw_keys(fact: DataFrame, dim_station: DataFrame) -> DataFrame:

@@ -75,3 +75,14 @@ def is_local_path(path: str) -> bool:
 def ensure_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
+
+
+def cut_lineage(df):
+    """Materialise ``df`` with a reliable checkpoint in the shared folder.
+
+    Used where a small result (an aggregate) is read several times: the
+    expensive plan below it then runs once, and a lost executor re-reads the
+    checkpoint files instead of recomputing the lineage.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
