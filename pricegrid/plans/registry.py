@@ -344,3 +344,49 @@ def compare_values(spark, sf_dir):
     b = compare.percentiles_by_rank(m.fact, m.dim_station)
     return compare.values(a, b, ["week_start_date", "state", "city", "product_key"],
                           ["median_price", "p10_price"])
+
+
+# ------------------------------------------------------------------ bronze stream and landing
+
+def _landed(spark, sf_dir) -> str:
+    """Survey CSV files rendered from the TESTDATA rows, one per source file,
+    in a fresh folder under the shared checkpoint root."""
+    from pricegrid.session import scratch_path
+    from pricegrid.sources import bronze as B
+    landing = scratch_path(spark, "landing")
+    B.write_landing(_m(spark, sf_dir).bronze, landing)
+    return landing
+
+
+def _ingested(spark, sf_dir) -> DataFrame:
+    from pricegrid.session import scratch_path
+    from pricegrid.streaming import bronze_stream
+    landing = _landed(spark, sf_dir)
+    table, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "bronze-ckpt")
+    bronze_stream.ingest(spark, landing, table, ckpt)
+    return spark.read.parquet(table)
+
+
+@query
+def bronze_stream_counts(spark, sf_dir):
+    from pricegrid.sources import bronze as B
+    return B.load_counts(_ingested(spark, sf_dir))
+
+
+@query
+def bronze_null_probe(spark, sf_dir):
+    from pricegrid.sources import bronze as B
+    return B.null_probe(_ingested(spark, sf_dir))
+
+
+@query
+def bronze_malformed(spark, sf_dir):
+    from pricegrid.sources import bronze as B
+    return B.malformed_profile(spark, _landed(spark, sf_dir))
+
+
+@query
+def landing_file_stats(spark, sf_dir):
+    from pricegrid.sources import landing
+    st = landing.file_stats(spark, _landed(spark, sf_dir), pattern=r"(file-[0-9]+)/[^/]+$")
+    return st.select("csv_name", "csv_lines")
