@@ -390,3 +390,63 @@ def landing_file_stats(spark, sf_dir):
     from pricegrid.sources import landing
     st = landing.file_stats(spark, _landed(spark, sf_dir), pattern=r"(file-[0-9]+)/[^/]+$")
     return st.select("csv_name", "csv_lines")
+
+
+# ------------------------------------------------------------------ layout and incremental stream
+
+def _staged_fact(spark, sf_dir, pieces: int = 16) -> str:
+    """The fact written as many small files (what appends leave behind)."""
+    from pricegrid.session import scratch_path
+    path = scratch_path(spark, "fact")
+    _m(spark, sf_dir).fact.repartition(pieces).write.parquet(path)
+    return path
+
+
+@query
+def layout_after_compaction(spark, sf_dir):
+    from pricegrid.session import scratch_path
+    from pricegrid.sources import tables
+    src = _staged_fact(spark, sf_dir)
+    out = tables.compact(spark, src, scratch_path(spark, "tables"), "fact")
+    before = tables.layout_stats(spark, src).select(F.col("num_files").alias("files_before"))
+    after = tables.layout_stats(spark, out).agg(F.max("num_files")).scalar()
+    rows = checks.count_of(spark.read.parquet(out))
+    return before.select("files_before", after.alias("files_after"), rows.alias("rows"))
+
+
+@query
+def layout_after_clustering(spark, sf_dir):
+    from pyspark.sql import Window
+    from pricegrid.session import scratch_path
+    from pricegrid.sources import tables
+    src = _staged_fact(spark, sf_dir)
+    out = tables.cluster(spark, src, ["collection_date", "product_key"],
+                         scratch_path(spark, "tables"), "fact", n_files=4)
+    r = tables.file_ranges(spark, out, "collection_date")
+    prev_hi = F.lag("hi").over(Window.orderBy("lo", "hi"))  # one row per file
+    return (r.withColumn("_ov", F.coalesce(F.col("lo") < prev_hi, F.lit(False)))
+            .agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"),
+                 F.count_if("_ov").alias("overlapping_neighbours")))
+
+
+@query
+def scd2_stream_apply(spark, sf_dir):
+    """History before the cut seeds the dimension; later observations arrive
+    as files on a stream and are applied per micro-batch. The final version
+    must equal the one-shot build."""
+    from pricegrid.session import scratch_path
+    from pricegrid.streaming import dimension_stream as DS
+    m = _m(spark, sf_dir)
+    root, log = scratch_path(spark, "dim"), scratch_path(spark, "dim-log")
+    hw = m.snapshots.where(F.col("collection_date") < m.cut()).agg(
+        F.max("collection_date")).first()[0]
+    DS.seed(spark, m.base_dim, hw, root, log)
+    feed = scratch_path(spark, "obs-feed")
+    later = m.kept.where(F.col("collection_date") >= m.cut())
+    later.write.parquet(feed)
+    stream = spark.readStream.schema(later.schema).parquet(feed)
+    q = DS.start(spark, stream, m.attrs, root, log, scratch_path(spark, "dim-ckpt"),
+                 canonical=lambda b: scd2.canonicalise(b, T.alias_map(b.sparkSession)))
+    q.awaitTermination()
+    dim, _, _ = DS.current(spark, root, log)
+    return dim

@@ -142,9 +142,13 @@ def malformed_profile(spark: SparkSession, path: str, header=K.SOURCE_HEADER,
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
           .csv(path))
     f = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).alias("csv_name")
-    # a data column rides along: Spark refuses plans reading only the corrupt column
-    return (df.select(f, F.col(CORRUPT), F.col(f"`{header[0]}`")).groupBy("csv_name")
+    # every data column is referenced: with CSV column pruning Spark would
+    # tokenise only the referenced ones and could not see a wrong field count
+    # (and it refuses plans that read the corrupt column alone)
+    data = [F.col(f"`{h}`") for h in header]
+    return (df.select(f, F.col(CORRUPT), F.coalesce(*data).isNull().alias("_blank"))
+            .groupBy("csv_name")
             .agg(F.count(F.lit(1)).alias("row_count"),
                  F.count(CORRUPT).alias("malformed_rows"),
                  F.count_distinct(CORRUPT).alias("distinct_malformed"),
-                 F.count_if(F.col(f"`{header[0]}`").isNull()).alias("empty_first_column")))
+                 F.count_if("_blank").alias("blank_rows")))
