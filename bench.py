@@ -49,7 +49,7 @@ def timed(fn, reps=REPS, warm=True):
 
 
 def main():
-    spark = build_session(f"local[{CPUS}]", "pricegrid-bench", shuffle_partitions=CPUS * 2,
+    spark = build_session(f"local[{CPUS}]", "pricegrid-bench", shuffle_partitions=CPUS,
                           extra={"spark.driver.memory": "16g"})
     m = SurveyModel(spark, SF_DIR)
     out = scratch_path(spark, "bench")
