@@ -77,12 +77,16 @@ def ensure_dir(path: str) -> None:
         os.makedirs(path.replace("file:", ""), exist_ok=True)
 
 
-def cut_lineage(df):
-    """Materialise ``df`` with a reliable checkpoint in the shared folder.
-
-    Used where a small result (an aggregate) is read several times: the
-    expensive plan below it then runs once, and a lost executor re-reads the
-    checkpoint files instead of recomputing the lineage.
+def cut_lineage(df, name: str = "cut"):
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
+    and return a DataFrame reading it.
+
+    Used where a result is read several times (the observation table, the
+    station dimension, the fact, a small aggregate): the plan below it runs
+    once, downstream scans are columnar and prune columns, and a lost
+    executor re-reads files instead of recomputing the lineage. One write
+    pass, unlike an eager RDD checkpoint, which runs its last stage twice.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
