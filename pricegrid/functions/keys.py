@@ -33,7 +33,3 @@ def version_key(key_col, date_col) -> Column:
     """Surrogate key of a versioned row: natural key plus its start date."""
     return natural_key(_col(key_col), _col(date_col).cast("string"))
 
-
-def row_hash(cols: Iterable) -> Column:
-    """Full-row digest used as the last, total tie-break of a dedup order."""
-    return F.sha2(F.to_json(F.struct(*[_col(c) for c in cols])), 256)

@@ -19,7 +19,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricegrid.functions.keys import row_hash
 
 
 def _winner_struct(df: DataFrame, order: Sequence[str]):
@@ -27,23 +26,19 @@ def _winner_struct(df: DataFrame, order: Sequence[str]):
     return F.struct(*fields, F.struct(*[F.col(c) for c in df.columns]).alias("_row"))
 
 
-def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str],
-               total_order: bool = True) -> DataFrame:
+def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the first by ``order``.
 
-    With ``total_order`` a full-row hash is appended as last tie-break so rows
-    equal on ``order`` but different elsewhere are still chosen reproducibly.
+    The order is total without any extra column: after ``order`` the struct
+    compares the whole row, field by field, so rows equal on ``order`` but
+    different elsewhere are still chosen reproducibly (and fully identical
+    rows are interchangeable).
     """
-    order = list(order)
-    if total_order:
-        df = df.withColumn("_tiebreak", row_hash(df.columns))
-        order = order + ["_tiebreak"]
-    kept = (
+    return (
         df.groupBy(*key)
-        .agg(F.min(_winner_struct(df, order)).alias("_w"))
+        .agg(F.min(_winner_struct(df, list(order))).alias("_w"))
         .select("_w._row.*")
     )
-    return kept.drop("_tiebreak") if total_order else kept
 
 
 def discarded(df: DataFrame, kept: DataFrame) -> DataFrame:
@@ -51,9 +46,8 @@ def discarded(df: DataFrame, kept: DataFrame) -> DataFrame:
     return df.exceptAll(kept.select(*df.columns))
 
 
-def split(df: DataFrame, key: Sequence[str], order: Sequence[str],
-          total_order: bool = True) -> tuple[DataFrame, DataFrame]:
-    kept = keep_first(df, key, order, total_order)
+def split(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    kept = keep_first(df, key, order)
     return kept, discarded(df, kept)
 
 

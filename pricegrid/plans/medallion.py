@@ -74,7 +74,7 @@ def run(spark: SparkSession, landing: str, out_root: str, aliases: DataFrame | N
     alias = b.write("brand_alias", labels.validate(aliases, silver))
     b.write("dim_brand", labels.brand_dim(silver, alias))
 
-    # dedup: lowest price, then name, then file, then a full-row hash (total order)
+    # dedup: lowest price, then name, then file, then the rest of the row (total order)
     data_cols = [c for c in silver.columns if c != "ingested_at"]
     obs = b.write("price_observation",
                   dedup.keep_first(silver, K.OBSERVATION_KEY, K.DEDUP_ORDER))

@@ -59,7 +59,7 @@ class SurveyModel:
     @cached_property
     def kept(self) -> DataFrame:
         return self._table(dedup.keep_first(self.observations, K.OBSERVATION_KEY,
-                                            K.DEDUP_ORDER + T.ROW_IDENTITY, total_order=False))
+                                            K.DEDUP_ORDER + T.ROW_IDENTITY))
 
     @cached_property
     def discarded(self) -> DataFrame:

@@ -69,17 +69,29 @@ def write_landing(df: DataFrame, path: str, file_col: str = "source_file",
      .csv(path))
 
 
+def _norm_path(c):
+    """file:/x, file:///x and /x name the same file."""
+    return F.regexp_replace(c, r"^file:/+", "/")
+
+
 def check_layout(spark: SparkSession, path: str,
-                 expected: Sequence[str] = K.SOURCE_HEADER) -> DataFrame:
+                 expected: Sequence[str] = K.SOURCE_HEADER,
+                 known: DataFrame | None = None) -> DataFrame:
     """Per-file header contract: one row per file whose first line does not
     match ``expected`` by position after folding BOM, accents and case.
 
     File paths come from the binaryFile listing (content not read); the first
     line of each file is read by a small per-file helper in ``mapInPandas``,
-    so every file is checked in parallel, never a sample.
+    so every file is checked in parallel, never a sample. ``known`` (a
+    DataFrame with a ``source_file`` column, e.g. the bronze table) removes
+    files already ingested, so a run checks only new files.
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.csv").load(path).select("path"))
+    if known is not None:
+        seen = known.select(_norm_path(F.col("source_file")).alias("_p")).distinct()
+        files = (files.withColumn("_p", _norm_path(F.col("path")))
+                 .join(seen, "_p", "left_anti").select("path"))
 
     def first_lines(it):
         import pandas as pd
@@ -111,8 +123,9 @@ def check_layout(spark: SparkSession, path: str,
                     diffs.alias("positions"), "read", "expected"))
 
 
-def require_layout(spark: SparkSession, path: str, expected=K.SOURCE_HEADER) -> None:
-    bad = check_layout(spark, path, expected).take(20)
+def require_layout(spark: SparkSession, path: str, expected=K.SOURCE_HEADER,
+                   known: DataFrame | None = None) -> None:
+    bad = check_layout(spark, path, expected, known).take(20)
     if bad:
         lines = [f"{r.path}: {r.columns_read} columns read, {r.columns_expected} expected; "
                  f"positions {r.positions}; read {r.read}" for r in bad]

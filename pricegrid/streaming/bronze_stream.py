@@ -28,6 +28,14 @@ def read_stream(spark: SparkSession, landing: str, header: Sequence[str] = K.SOU
     return s.select(*bronze._positional(s, header, names), *bronze.provenance())
 
 
+def _existing(spark: SparkSession, table_path: str):
+    """The bronze table if it already has data (files in it are not re-checked)."""
+    try:
+        return spark.read.parquet(table_path).select("source_file")
+    except Exception:  # noqa: BLE001 - first run: no table yet
+        return None
+
+
 def ingest(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
            check_layout: bool = True, header: Sequence[str] = K.SOURCE_HEADER) -> int:
     """Drain the landing folder into a Parquet table and stop.
@@ -36,7 +44,7 @@ def ingest(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
     deleted in place). Returns the number of micro-batches run.
     """
     if check_layout:
-        bronze.require_layout(spark, landing, header)
+        bronze.require_layout(spark, landing, header, known=_existing(spark, table_path))
     q = (read_stream(spark, landing, header).writeStream.format("parquet")
          .option("path", table_path).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())

@@ -54,6 +54,9 @@ def test_header_contract_folds_accents_and_reports_positions(spark, scratch):
     assert len(bad) == 1 and bad[0].path.endswith("bad.csv") and bad[0].positions == [0, 1]
     with pytest.raises(ValueError, match="layout differs"):
         bronze_stream.ingest(spark, land, scratch("b"), scratch("c"))
+    # files already in the bronze table are not checked again
+    known = spark.createDataFrame([("file:" + land + "/bad.csv",)], "source_file string")
+    assert bronze.check_layout(spark, land, known=known).count() == 0
 
 
 def test_malformed_rows_and_blank_lines(spark, scratch):
