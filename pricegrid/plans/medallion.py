@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from pricegrid import constants as K
 from pricegrid.operators import checks, clean, dedup, dims, facts, labels, rollup, scd2
+from pricegrid.sources import landing as landing_src
 from pricegrid.sources import tables
 from pricegrid.streaming import bronze_stream
 
@@ -113,3 +114,51 @@ def run(spark: SparkSession, landing: str, out_root: str, aliases: DataFrame | N
     if r.fact_rows != r.rollup_observations:
         raise checks.CheckFailed(f"rollup sum {r.rollup_observations} != fact {r.fact_rows}")
     return b.paths
+
+
+def land(spark: SparkSession, archive_dir: str, landing: str, audit_path: str) -> DataFrame:
+    """L1: extract every archive into the landing folder and append the new
+    files to the audit table (files already audited are skipped)."""
+    try:
+        audit = spark.read.parquet(audit_path)
+    except Exception:  # noqa: BLE001 - first run: no audit table yet
+        audit = None
+    manifest = landing_src.extract(spark, archive_dir, landing)
+    return landing_src.append_audit(manifest, audit_path, audit)
+
+
+# Table descriptions written by ``describe`` (our own wording).
+TABLE_NOTES = {
+    "price_raw": "Survey rows as delivered: every column text, blank lines included.",
+    "price_clean": "Typed, normalised rows; blank lines removed, repeated keys still present.",
+    "silver_rejects": "Rows that failed conversion, with raw values and the first failing reason.",
+    "price_observation": "One row per collection date, station and product.",
+    "dim_station": "Station history with half-open validity; the current version ends 9999-12-31.",
+    "brand_alias": "Hand-curated labels that name the same distributor, with rationale.",
+    "fct_price_observation": "Price by date, station version and product; label and city come "
+                             "from the version in force.",
+    "weekly_price": "Weekly summary per city and product with exact percentiles; first and last "
+                    "weeks flagged in is_edge_week.",
+}
+COLUMN_NOTES = [
+    ("dim_station", "attribute_hash", "Digest of the attributes that open a version; the address "
+                                      "complement is left out on purpose."),
+    ("dim_station", "valid_to", "Exclusive end; 9999-12-31 for the current version."),
+    ("weekly_price", "median_price", "Exact percentile (linear interpolation), never approximate."),
+    ("dim_city", "city_key", "Digest of state and city: the name alone repeats across states."),
+]
+
+
+def describe(spark: SparkSession, paths: dict[str, str], schema: str = "pricegrid") -> list:
+    """L26: register the written versions as tables of ``schema`` and comment
+    them. A failing item is reported, not fatal; returns the failures."""
+    tables.setup(spark, {schema: "Survey price model built by pricegrid."})
+    errors = []
+    for name, path in paths.items():
+        try:
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.{name} USING parquet LOCATION '{path}'")
+        except Exception as e:  # noqa: BLE001
+            errors.append((name, f"{type(e).__name__}: {str(e)[:150]}"))
+    notes = {f"{schema}.{k}": v for k, v in TABLE_NOTES.items() if k in paths}
+    cols = [(f"{schema}.{t}", c, v) for t, c, v in COLUMN_NOTES if t in paths]
+    return errors + tables.comment(spark, notes, cols)

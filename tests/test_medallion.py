@@ -36,3 +36,9 @@ def test_full_build_from_csv(spark, scratch):
                           bronze_checkpoint=paths["price_raw"].rsplit("/bronze/", 1)[0]
                           + "/_checkpoints/price_raw")
     assert spark.read.parquet(again["price_raw"]).count() == bal.bronze
+    # governance: tables registered and commented, nothing failed
+    assert medallion.describe(spark, paths, "pg_build") == []
+    row = spark.sql("DESCRIBE TABLE EXTENDED pg_build.weekly_price").where(
+        "col_name = 'Comment'").first()
+    assert row is not None and "exact percentiles" in row.data_type
+    assert spark.table("pg_build.fct_price_observation").count() == obs
