@@ -1,8 +1,11 @@
 """Benchmark: prints one JSON line.
 
 Headline metric (comparable to the published baseline): the weekly rollup,
-join + aggregation over the materialised fact and dimension tables, median of
-3 runs after one warm-up. The per-query section also times whole chains from
+join + aggregation over the materialised fact and station tables, keyed as
+the baseline's timed query (week by date_trunc, state, city, product), median
+of 5 runs after one warm-up, every output column forced with the noop sink.
+The stored rollup (calendar join, month from week start, edge flag) is timed
+separately. The per-query section also times whole chains from
 the raw TESTDATA tables (clean, dedup, SCD2 build, incremental apply, fact,
 rollup), each forced to completion with the ``noop`` sink.
 
@@ -71,8 +74,10 @@ def main():
         run(rollup.weekly_raw_keys(read["fact"], read["dim_station"]))
 
     results = {
-        "weekly_rollup_join_agg": round(timed(rollup_query), 3),
-        "weekly_raw_keys_join_agg": round(timed(raw_keys_query), 3),
+        # the baseline's timed query: week by date_trunc, state, city, product
+        "weekly_rollup_join_agg": round(timed(raw_keys_query), 3),
+        # the stored rollup: calendar join, month from week start, edge flag
+        "weekly_rollup_calendar_edges": round(timed(rollup_query), 3),
     }
     # versioned dimension on staged snapshots: one-shot build, every later date
     # in one incremental pass, and one date (the per-date upsert unit)
