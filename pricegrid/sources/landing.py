@@ -78,7 +78,11 @@ def register(manifest: DataFrame, audit: DataFrame | None) -> DataFrame:
 
 
 def append_audit(manifest: DataFrame, audit_path: str, audit: DataFrame | None) -> DataFrame:
-    rows = register(manifest, audit)
+    """Append the new rows and return them. They are staged first: a lazy
+    plan anti-joined against the audit table would come back empty once the
+    append has landed."""
+    from pricegrid.session import cut_lineage
+    rows = cut_lineage(register(manifest, audit), "audit-new")
     rows.write.mode("append").parquet(audit_path)
     return rows
 

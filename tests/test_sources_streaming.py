@@ -96,6 +96,23 @@ def test_landing_extract_manifest_and_idempotent_skip(spark, scratch):
     assert (st.csv_lines, st.csv_bytes) == (2, m.csv_bytes)
 
 
+def test_medallion_land_is_idempotent(spark, scratch):
+    from pricegrid.plans import medallion
+    arch = scratch("arch")
+    os.makedirs(arch)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("a.csv", HEADER + "\n" + ROW + "\n")
+        z.writestr("b.csv", HEADER + "\n" + ROW + "\n" + ROW + "\n")
+    with open(os.path.join(arch, "ca-2025-01.zip"), "wb") as f:
+        f.write(buf.getvalue())
+    land, audit = scratch("land"), scratch("audit")
+    first = medallion.land(spark, arch, land, audit).collect()
+    assert sorted(r.csv_name.rsplit("_", 1)[1] for r in first) == ["00.csv", "01.csv"]
+    assert medallion.land(spark, arch, land, audit).count() == 0
+    assert spark.read.parquet(audit).count() == 2
+
+
 def test_landing_refuses_archive_without_csv(spark, scratch):
     arch = scratch("arch")
     os.makedirs(arch)
