@@ -41,8 +41,17 @@ def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataF
     )
 
 
-def discarded(df: DataFrame, kept: DataFrame) -> DataFrame:
-    """Every row of ``df`` not chosen: multiset difference, duplicates kept."""
+def discarded(df: DataFrame, kept: DataFrame,
+              identity: Sequence[str] | None = None) -> DataFrame:
+    """Every row of ``df`` not chosen.
+
+    Without ``identity``: the multiset difference (duplicates of the winner
+    are discards), which shuffles both full inputs. With a unique row
+    ``identity``: an anti-join on it, which shuffles only the identity columns
+    of the kept side.
+    """
+    if identity:
+        return df.join(kept.select(*identity), list(identity), "left_anti")
     return df.exceptAll(kept.select(*df.columns))
 
 

@@ -63,7 +63,8 @@ class SurveyModel:
 
     @cached_property
     def discarded(self) -> DataFrame:
-        return dedup.discarded(self.observations, self.kept)
+        return dedup.discarded(self.observations, self.kept,
+                               identity=T.ROW_IDENTITY + ["reseller_cnpj"])
 
     @cached_property
     def aliases(self) -> DataFrame:

@@ -54,3 +54,12 @@ def test_brand_dim_and_transitions(spark):
     tr = {(r.from_label, r.to_label): (r.events, r.dates, r.stations)
           for r in labels.transitions(obs).collect()}
     assert tr == {("VIBRA ENERGIA", "VIBRA"): (1, 1, 1), ("BRANCA", "VIBRA"): (1, 1, 1)}
+
+
+def test_discards_by_identity_equal_multiset_difference(spark):
+    rows = [(i, i % 4, (i * 7) % 5, f"n{i % 3}") for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, k int, price int, name string")
+    kept = dedup.keep_first(df, ["k"], ["price", "name"])
+    a = sorted(dedup.discarded(df, kept).collect())
+    b = sorted(dedup.discarded(df, kept, identity=["id"]).collect())
+    assert a == b and len(a) == 56
