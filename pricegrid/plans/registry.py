@@ -450,3 +450,42 @@ def scd2_stream_apply(spark, sf_dir):
     q.awaitTermination()
     dim, _, _ = DS.current(spark, root, log)
     return dim
+
+
+# ------------------------------------------------------------------ summaries of the composite jobs
+
+@query
+def dedup_balance(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return checks.reconcile(before=m.observations, after=m.kept, discarded=m.discarded)
+
+
+@query
+def snapshot_conflict_summary(spark, sf_dir):
+    c = scd2.snapshot_conflicts(_m(spark, sf_dir).snapshots_raw)
+    return c.agg(F.count(F.lit(1)).alias("ambiguous_pairs"),
+                 F.coalesce(F.sum("states_on_day") - F.count(F.lit(1)), F.lit(0))
+                 .alias("surplus_rows"))
+
+
+@query
+def brand_summary(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    raw = m.observations.agg(F.count_distinct("brand").alias("raw_labels"))
+    return raw.select("raw_labels", checks.count_of(m.aliases).alias("aliases"),
+                      checks.count_of(m.brand_dim).alias("canonical_labels"))
+
+
+@query
+def city_profile(spark, sf_dir):
+    return _m(spark, sf_dir).dim_city.agg(
+        F.count(F.lit(1)).alias("cities"), F.count_distinct("city_name").alias("distinct_names"),
+        F.count_distinct("uf").alias("states"))
+
+
+@query
+def scd2_incremental_invariants(spark, sf_dir):
+    inc = _m(spark, sf_dir).incremental_dim
+    single = scd2.check_single_current(inc)
+    return single.select("stations_violating",
+                         scd2.check_contiguous(inc).scalar().alias("intervals_violating"))
