@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from pricegrid import constants as K
 from pricegrid.functions.keys import attribute_hash, version_key
+from pricegrid.operators import checks
 
 KEY = "reseller_cnpj"
 DATE = "collection_date"
@@ -39,11 +40,12 @@ def _open_end():
 def canonicalise(df: DataFrame, aliases: DataFrame, col: str = "brand") -> DataFrame:
     """Replace a label by its canonical form where the alias map has one.
 
-    The alias map is a hand-curated list (tens of rows), so it is broadcast.
+    The alias map is a hand-curated list (tens of rows): broadcast behind a
+    row-count check, left to AQE beyond it.
     """
     a = aliases.select(F.col("source_brand").alias("_src"),
                        F.col("canonical_brand").alias("_canon"))
-    out = df.join(F.broadcast(a), df[col] == a["_src"], "left")
+    out = df.join(checks.broadcast_if_small(a), df[col] == a["_src"], "left")
     return out.select(*[F.coalesce("_canon", col).alias(col) if c == col else F.col(c)
                         for c in df.columns])
 

@@ -75,3 +75,12 @@ def test_selective_filter_reaches_the_scan(spark, scratch):
     assert "GreaterThanOrEqual(collection_date" in scan
     # only the three columns the query needs are read
     assert re.search(r"ReadSchema: struct<collection_date:date,product_key:string,sale_price:decimal\(10,3\)>", scan)
+
+
+def test_lookup_broadcast_only_behind_size_check(spark):
+    from pricegrid.operators import checks
+    small = spark.range(10)
+    big = spark.range(50)
+    assert "broadcast" in plan(small.join(checks.broadcast_if_small(small, 20), "id")).lower()
+    p = checks.broadcast_if_small(big, 20)
+    assert p is big
