@@ -123,3 +123,20 @@ def test_label_switches_need_predecessor(spark):
                        ("1", "2024-01-03", "Q", "B"), ("2", "2024-01-01", "P", "B")])
     dim = scd2.build(scd2.snapshots(o, ATTRS), ATTRS)
     assert scd2.label_switches(dim).first()[0] == 1
+
+
+def test_late_snapshots_rebuild_affected_keys(spark):
+    o = random_obs(spark, seed=21)
+    snaps = scd2.snapshots(o, ATTRS)
+    # history up to Feb 1 was applied, but station 2 sends January days late
+    applied = snaps.where("collection_date < '2024-02-01' AND NOT (reseller_cnpj = '2' "
+                          "AND collection_date >= '2024-01-15')")
+    dim = scd2.build(applied, ATTRS)
+    late = snaps.where("reseller_cnpj = '2' AND collection_date >= '2024-01-15' "
+                       "AND collection_date < '2024-02-01'")
+    keys = scd2.late_keys(late, "2024-01-31")
+    assert [r.reseller_cnpj for r in keys.collect()] == ["2"]
+    fixed = scd2.rebuild_keys(dim, applied.unionByName(late), keys, ATTRS)
+    want = scd2.build(snaps.where("collection_date < '2024-02-01'"), ATTRS)
+    d = compare.symmetric_diff(want, fixed, want.columns, multiset=True).first()
+    assert (d.only_in_left, d.only_in_right) == (0, 0)
