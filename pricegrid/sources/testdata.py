@@ -46,28 +46,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def station_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """supplier -> nation -> region. nation/region are fixed 25/5-row tables,
-    so broadcasting them is size-safe at any scale factor; supplier is not
-    hinted and is left to AQE."""
+def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nation -> region: fixed 25/5-row tables (TPC-H), so broadcasting them is
+    size-safe at any scale factor."""
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    return sup.join(F.broadcast(geo), sup.s_nationkey == geo.n_nationkey).select(
-        "s_suppkey", "s_name", "n_name", "r_name"
-    )
+    return nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
+        "n_nationkey", "n_name", "r_name")
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean observation rows (before dedup), one per lineitem row."""
+    """Clean observation rows (before dedup), one per lineitem row.
+
+    lineitem joins part and supplier directly, so the planner sees their real
+    file sizes (broadcast while small, sort-merge once they grow with the
+    scale factor; no hint). The fixed nation/region pair is joined last,
+    broadcast.
+    """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
         "l_returnflag", "l_linestatus", "l_shipdate",
     )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    geo = station_geo(spark, sf_dir)
-    j = li.join(part, li.l_partkey == part.p_partkey).join(geo, li.l_suppkey == geo.s_suppkey)
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    geo = _geo(spark, sf_dir)
+    j = (li.join(part, li.l_partkey == part.p_partkey)
+         .join(sup, li.l_suppkey == sup.s_suppkey)
+         .join(F.broadcast(geo), sup.s_nationkey == geo.n_nationkey))
     return j.select(
         F.col("r_name").alias("region"),
         F.col("r_name").alias("state"),
