@@ -157,7 +157,7 @@ def as_of(obs: DataFrame, dim: DataFrame, carry: Sequence[str] = ("station_key",
 
 def as_of_range(obs: DataFrame, dim: DataFrame, carry: Sequence[str] = ("station_key",),
                 key: str = KEY, date: str = DATE, how: str = "inner") -> DataFrame:
-    """Direct interval join (equi key + range residual), kept as the reference
+    """Direct interval join (equi key + range residual), kept as the plain
     definition the faster forms are tested against."""
     d = dim.select(F.col(key).alias("_dk"), "valid_from", "valid_to", *carry)
     cond = (obs[key] == d["_dk"]) & (obs[date] >= d["valid_from"]) & (obs[date] < d["valid_to"])
