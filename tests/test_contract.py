@@ -35,9 +35,13 @@ def test_query_matches_oracle(spark, duck, name):
     if sql is None:
         assert len(rows) >= 0
         return
-    cur = duck.execute(sql)
-    cols = [d[0] for d in cur.description]
-    want = cur.fetchall()
+    rel = duck.sql(sql)
+    cols = rel.columns
+    want = rel.fetchall()
     assert sorted(df.columns) == sorted(cols)
+    # same Arrow types column by column (a type-sensitive hash must agree too)
+    got_t = {f.name: str(f.type) for f in df.toArrow().schema}
+    want_t = {f.name: str(f.type) for f in duck.sql(sql).to_arrow_table().schema}
+    assert got_t == want_t
     assert len(rows) == len(want)
     assert digest(df.columns, rows)[0] == digest(cols, want)[0]
