@@ -80,7 +80,9 @@ class SurveyModel:
 
     @cached_property
     def snapshots(self) -> DataFrame:
-        return scd2.snapshots(self.canonical, self.attrs)
+        # one row per (station, date): read by the build, the incremental
+        # split and the high-water scalar, so written once
+        return self._table(scd2.snapshots(self.canonical, self.attrs))
 
     @cached_property
     def dim_station(self) -> DataFrame:
