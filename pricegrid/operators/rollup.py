@@ -81,7 +81,7 @@ def mark_edges(agg: DataFrame, week: str = "survey_week_key") -> DataFrame:
 
 def weekly(fact, dim_station, dim_city, dim_date, materialise: bool = True) -> DataFrame:
     """Rollup + edge flag. The unmarked aggregate (orders of magnitude smaller
-    than the fact) is checkpointed first, so the edge bounds read it instead
+    than the fact) is materialised first, so the edge bounds read it instead
     of re-running the fact joins inside the scalar subqueries."""
     agg = weekly_unmarked(fact, dim_station, dim_city, dim_date)
     return mark_edges(cut_lineage(agg) if materialise else agg)

@@ -2,11 +2,11 @@
 
 Each attribute is a DataFrame plan. The three tables the survey build writes
 and reads many times -- the deduplicated observations, the station
-dimension and the fact -- are materialised once with a reliable checkpoint in
-the shared checkpoint folder (``materialise=True``), exactly as the batch
+dimension and the fact (plus the snapshot table) -- are materialised once as
+Parquet tables in the shared checkpoint folder (``materialise=True``), as the batch
 build writes them as tables: downstream plans then read files instead of
 re-running the dedup aggregate once per consumer, and a lost executor
-re-reads the checkpoint instead of recomputing the lineage. Everything else
+re-reads those files instead of recomputing the lineage. Everything else
 stays lazy.
 """
 
