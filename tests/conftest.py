@@ -10,8 +10,12 @@ SF001 = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from pricegrid.session import build_session
-    s = build_session("local[4]", "pricegrid-tests", shuffle_partitions=4)
+    # tests only: the catalog's warehouse goes to a scratch folder, not the repo
+    s = build_session("local[4]", "pricegrid-tests", shuffle_partitions=4,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="pg-wh-")})
     yield s
     s.stop()
 
