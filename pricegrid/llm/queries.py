@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pricegrid.llm import exact_dedup
+from pricegrid.llm import exact_dedup, quality
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,8 +18,16 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(_read(spark, sf_dir, "documents"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.fit(docs, _read(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality.held_out().alias("held_out"), F.col("_score").alias("score"),
+                         F.col("_predicted").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op8_quality_classifier": op8_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {
