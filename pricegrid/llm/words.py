@@ -11,6 +11,8 @@ import xxhash
 def split(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of all texts, dictionary-encoded, and the
     offsets of each text's words. Null is empty; ``lower`` maps A-Z only."""
+    if texts.offset:  # Arrow's string kernels misread long arrays that start inside a buffer
+        texts = texts.take(pa.array(np.arange(len(texts))))
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     words = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     flat, offsets = words.flatten(), words.offsets.to_numpy().astype(np.int64)
