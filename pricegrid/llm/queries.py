@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricegrid.llm import exact_dedup, quality
+from pricegrid.llm import exact_dedup, near_dedup, quality
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,9 +25,14 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("_predicted").alias("predicted"))
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_read(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -37,4 +42,22 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = min(doc_id) OVER same AS kept, sha256(body) AS text_sha256
         FROM flat WINDOW same AS (PARTITION BY body)""",
+    "op9_minhash_near_dedup": r"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), x -> x <> '') AS ws FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(ws) < 2 THEN ws
+                ELSE list_distinct(list_transform(range(1, len(ws)), i -> ws[i] || ' ' || ws[i + 1])) END AS s FROM worded),
+        items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+        reached AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other),
+        named AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+        SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+        FROM sets s JOIN named c USING (doc_id)""",
 }
