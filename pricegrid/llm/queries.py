@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricegrid.llm import exact_dedup, near_dedup, quality
+from pricegrid.llm import exact_dedup, near_dedup, quality, sharding
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +18,13 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(_read(spark, sf_dir, "documents"))
 
 
+def op6_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = sharding.shards(_read(spark, sf_dir, "documents"))
+    body = F.coalesce("text", F.lit("")).cast("binary")
+    return shards.select("doc_id", sharding.size().alias("size"), F.crc32(body).alias("text_crc32"),
+                         F.lit(sharding.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     scored = quality.score(docs, quality.fit(docs, _read(spark, sf_dir, "labels")))
@@ -31,6 +38,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op6_external_shuffle": op6_external_shuffle,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
@@ -44,12 +52,12 @@ ORACLE_SQL: dict[str, str] = {
         FROM flat WINDOW same AS (PARTITION BY body)""",
     "op9_minhash_near_dedup": r"""
         WITH RECURSIVE worded AS (
-            SELECT doc_id, list_filter(regexp_split_to_array(
+            SELECT doc_id, [x FOR x IN regexp_split_to_array(
                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                '[\x20\x09-\x0D]+'), x -> x <> '') AS ws FROM documents),
+                '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM documents),
         sets AS (
             SELECT doc_id, CASE WHEN len(ws) < 2 THEN ws
-                ELSE list_distinct(list_transform(range(1, len(ws)), i -> ws[i] || ' ' || ws[i + 1])) END AS s FROM worded),
+                ELSE list_distinct([ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))]) END AS s FROM worded),
         items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
         links AS (
             SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id
