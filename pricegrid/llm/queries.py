@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricegrid.llm import exact_dedup, near_dedup, quality, sharding
+from pricegrid.llm import bpe, exact_dedup, near_dedup, quality, sharding
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +19,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(_read(spark, sf_dir, "documents"))
 
 
+def op4_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                       public_tokenizers.PATTERN)
+
+
 def op6_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.shards(_read(spark, sf_dir, "documents"))
     body = F.coalesce("text", F.lit("")).cast("binary")
@@ -38,6 +44,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_prefix_bpe": op4_prefix_bpe,
     "op6_external_shuffle": op6_external_shuffle,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
