@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricegrid.llm import bpe, exact_dedup, near_dedup, quality, sharding
+from pricegrid.llm import bpe, exact_dedup, near_dedup, packing, quality, sharding
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,6 +24,12 @@ def op4_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.PATTERN)
 
 
+def op5_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the rank file holds the vocabulary of byte_bpe_50k.json
+    return packing.pieces(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                          public_tokenizers.PATTERN)
+
+
 def op6_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.shards(_read(spark, sf_dir, "documents"))
     body = F.coalesce("text", F.lit("")).cast("binary")
@@ -45,6 +51,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_prefix_bpe": op4_prefix_bpe,
+    "op5_hilbert_packing": op5_hilbert_packing,
     "op6_external_shuffle": op6_external_shuffle,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
