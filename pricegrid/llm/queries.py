@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricegrid.llm import bpe, exact_dedup, near_dedup, packing, quality, sharding
+from pricegrid.llm import bpe, exact_dedup, near_dedup, packing, quality, secrets, sharding
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(_read(spark, sf_dir, "documents"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.fit(docs))
+
+
 def op4_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                        public_tokenizers.PATTERN)
@@ -50,6 +55,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_secret_scan": op2_secret_scan,
     "op4_prefix_bpe": op4_prefix_bpe,
     "op5_hilbert_packing": op5_hilbert_packing,
     "op6_external_shuffle": op6_external_shuffle,
