@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricegrid.llm import bpe, exact_dedup, near_dedup, packing, quality, secrets, sharding
+from pricegrid.llm import ann, bpe, exact_dedup, near_dedup, packing, quality, secrets, sharding
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -42,6 +42,11 @@ def op6_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(sharding.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     scored = quality.score(docs, quality.fit(docs, _read(spark, sf_dir, "labels")))
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_prefix_bpe": op4_prefix_bpe,
     "op5_hilbert_packing": op5_hilbert_packing,
     "op6_external_shuffle": op6_external_shuffle,
+    "op7_multi_index_hashing": op7_multi_index_hashing,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
