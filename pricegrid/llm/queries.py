@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricegrid.llm import ann, bpe, exact_dedup, near_dedup, packing, quality, secrets, sharding
+from pricegrid.llm import ann, bpe, exact_dedup, near_dedup, packing, quality, secrets, sharding, url_trust
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(docs, secrets.fit(docs))
 
 
+def op3_link_graph_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_trust.judge(_read(spark, sf_dir, "pages"))
+
+
 def op4_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                        public_tokenizers.PATTERN)
@@ -61,6 +65,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_secret_scan": op2_secret_scan,
+    "op3_link_graph_trust": op3_link_graph_trust,
     "op4_prefix_bpe": op4_prefix_bpe,
     "op5_hilbert_packing": op5_hilbert_packing,
     "op6_external_shuffle": op6_external_shuffle,
@@ -76,6 +81,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = min(doc_id) OVER same AS kept, sha256(body) AS text_sha256
         FROM flat WINDOW same AS (PARTITION BY body)""",
+    "op3_link_graph_trust": url_trust.oracle_sql(),
     "op9_minhash_near_dedup": r"""
         WITH RECURSIVE worded AS (
             SELECT doc_id, [x FOR x IN regexp_split_to_array(
