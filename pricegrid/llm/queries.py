@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricegrid.llm import ann, bpe, exact_dedup, near_dedup, packing, quality, secrets, sharding, url_trust
+from pricegrid.llm import ann, bpe, exact_dedup, near_dedup, packing, quality, secrets, sharding, url_trust, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -62,6 +62,11 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_read(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op10_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolve(warc.captures(_read(spark, sf_dir, "pages")))
+    return found.select("record_id", "uri_key", "state", "source_id", "digest", warc.header_lines(F.col("headers")).alias("headers"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_external_shuffle": op6_external_shuffle,
     "op7_multi_index_hashing": op7_multi_index_hashing,
     "op8_quality_classifier": op8_quality_classifier,
+    "op10_revisit_resolution": op10_revisit_resolution,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 
@@ -100,4 +106,33 @@ ORACLE_SQL: dict[str, str] = {
         named AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
         SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
         FROM sets s JOIN named c USING (doc_id)""",
+    "op10_revisit_resolution": r"""
+        WITH base AS (
+            SELECT *, 1700000000 + page_id * 60 AS stamp, sha256(coalesce(html, '')) AS digest,
+                '"' || left(sha256(coalesce(html, '')), 16) || '"' AS tag,
+                regexp_replace(regexp_replace(url, '#[\s\S]*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare FROM pages),
+        keyed AS (
+            SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[^/?]*')), '^www[.]', ''), ':(80|443)$', '')
+                || regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/$', '') AS place,
+                array_to_string([x FOR x IN string_split(regexp_extract(bare, '^[^?]*[?]([\s\S]*)$', 1), '&')
+                    IF x <> '' AND NOT starts_with(x, 'utm_')], '&') AS asked FROM base),
+        page AS (SELECT *, place || CASE WHEN asked <> '' THEN '?' || asked ELSE '' END AS uri_key FROM keyed),
+        full_ AS (
+            SELECT uri_key, stamp AS t, page_id * 4 AS source_id, digest, stamp::VARCHAR AS of_date,
+                CASE WHEN page_id % 7 <> 3 THEN tag END AS of_tag, CASE WHEN page_id % 5 <> 2 THEN stamp::VARCHAR END AS of_changed FROM page),
+        revisits AS (
+            SELECT uri_key, page_id * 4 + 1 AS record_id, stamp + (page_id % 11 + 1) * 3600 AS t, 'max-age=120' AS cache,
+                CASE WHEN page_id % 7 <> 3 THEN CASE WHEN page_id % 13 = 5 THEN '"stale"' WHEN page_id % 4 = 0 THEN 'W/' || tag ELSE tag END END AS sent,
+                CASE WHEN page_id % 5 <> 2 THEN stamp::VARCHAR END AS changed FROM page WHERE page_id % 3 <> 1
+            UNION ALL SELECT uri_key, page_id * 4 + 2, stamp - 86400, NULL, tag, NULL FROM page WHERE page_id % 17 = 4),
+        found AS (
+            SELECT r.*, f.* EXCLUDE (uri_key, t) FROM revisits r LEFT JOIN full_ f
+            ON f.uri_key = r.uri_key AND (f.t, f.source_id) < (r.t, r.record_id)
+            QUALIFY row_number() OVER (PARTITION BY r.record_id ORDER BY f.t DESC NULLS LAST, f.source_id DESC NULLS LAST) = 1),
+        checked AS (SELECT *, coalesce(regexp_replace(sent, '^W/', '') = of_tag, changed = of_changed) AS agrees FROM found)
+        SELECT record_id, uri_key, source_id, digest,
+            CASE WHEN source_id IS NULL THEN 'missing' WHEN agrees THEN 'resolved' WHEN agrees IS NULL THEN 'unverified' ELSE 'mismatch' END AS state,
+            CASE WHEN agrees THEN array_to_string(list_filter(['cache-control: ' || coalesce(cache, 'max-age=60'), 'content-type: text/html',
+                'date: ' || t::VARCHAR, 'etag: ' || coalesce(sent, of_tag), 'last-modified: ' || of_changed], lambda x: x IS NOT NULL), chr(10)) END AS headers
+        FROM checked""",
 }
