@@ -19,7 +19,7 @@ earlier response).
 Edge cases: a revisit without uri or date is ``missing``; records of one time are
 ordered by record_id, a response of the same time with a smaller id counts as
 earlier; null headers are empty; header names compare in lower case (of names that
-differ in case alone, the last counts); repeated records resolve each; extra columns
+differ in case alone, the one that sorts last counts); repeated records resolve each; extra columns
 are ignored; an empty table gives an empty result.
 """
 
@@ -45,7 +45,7 @@ def canonical(uri) -> Column:
 
 
 def _lower_names(headers) -> Column:
-    pairs = F.transform(F.map_entries(F.coalesce(headers, F.expr("map()").cast("map<string,string>"))),
+    pairs = F.transform(F.array_sort(F.map_entries(F.coalesce(headers, F.expr("map()").cast("map<string,string>")))),
                         lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
     names = F.array_distinct(F.transform(pairs, lambda e: e["key"]))
     return F.map_from_entries(F.transform(names, lambda n: F.struct(n.alias("key"), F.element_at(F.filter(pairs, lambda e: e["key"] == n), -1)["value"].alias("value"))))
