@@ -12,19 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# Largest lookup list (rows) broadcast on a hint; beyond it AQE decides.
-LOOKUP_BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = LOOKUP_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a size check: counts at most ``max_rows`` + 1
-    rows (``limit`` stops the scan early). A larger input is returned as is,
-    and AQE chooses the join from its measured size."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def count_of(df: DataFrame):
     """Row count of ``df`` as a scalar-subquery Column."""
     return df.agg(F.count(F.lit(1))).scalar()
@@ -51,11 +38,6 @@ def duplicate_key_count(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return duplicate_keys(df, key).agg(F.count(F.lit(1)).alias("duplicate_keys"))
 
 
-def surplus(df: DataFrame, n: str = "n") -> DataFrame:
-    """Rows beyond the first per repeated key: sum(n) - count(*), 0 when none."""
-    return df.agg(F.coalesce(F.sum(n) - F.count(F.lit(1)), F.lit(0)).alias("surplus_rows"))
-
-
 class CheckFailed(AssertionError):
     pass
 

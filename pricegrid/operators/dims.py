@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricegrid.functions.keys import natural_key
-from pricegrid.operators import checks
 
 
 def calendar(dates: DataFrame, date: str = "collection_date") -> DataFrame:
@@ -64,11 +63,10 @@ def homonyms(city_dim: DataFrame) -> DataFrame:
 
 def product(obs: DataFrame, curated: DataFrame) -> DataFrame:
     """Products seen in the data, with curated names where the map has them.
-    The curated map is a hand-written list: broadcast behind a row-count
-    check, left to AQE beyond it."""
+    AQE broadcasts the curated map when its measured bytes allow it."""
     o = obs.groupBy("product").agg(F.count(F.lit(1)).alias("observations"))
     c = curated.withColumnRenamed("unit_of_measure", "_unit")
-    j = o.join(checks.broadcast_if_small(c), o["product"] == c["source_product_name"], "left")
+    j = o.join(c, o["product"] == c["source_product_name"], "left")
     return j.select(
         natural_key("product").alias("product_key"),
         F.col("product").alias("source_product_name"),

@@ -35,7 +35,7 @@ def validate(aliases: DataFrame, clean: DataFrame, col: str = "brand") -> DataFr
 def brand_dim(clean: DataFrame, aliases: DataFrame, unbranded: str = K.UNBRANDED,
               col: str = "brand", key: str = "reseller_cnpj") -> DataFrame:
     a = aliases.select(F.col("source_brand").alias("_src"), F.col("canonical_brand").alias("_c"))
-    j = clean.join(checks.broadcast_if_small(a), clean[col] == a["_src"], "left")
+    j = clean.join(a, clean[col] == a["_src"], "left")
     g = (j.groupBy(F.coalesce("_c", col).alias("brand_name"))
          .agg(F.count_distinct(key).alias("stations")))
     return g.select(natural_key("brand_name").alias("brand_key"), "brand_name",

@@ -7,7 +7,7 @@ about execution is decided by hand; Catalyst and AQE plan the rest.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -49,14 +49,19 @@ def build_session(master: str | None = None, app: str = "pricegrid",
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged tables.
 
-    Read from ``spark.checkpoint.dir`` as the cluster names it. Only when the
-    session has none (a unit test on a laptop) is a private folder created.
+    Read from ``spark.checkpoint.dir`` as the cluster names it. Without that
+    setting a ``local`` master (one machine, as in tests) gets a private
+    folder; on any other master tasks of different machines could not see
+    each other's files, so it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                             "executors share")
         root = tempfile.mkdtemp(prefix="pricegrid-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
@@ -68,15 +73,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/pricegrid/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-
-
 def cut_lineage(df, name: str = "cut"):
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder
     and return a DataFrame reading it.
