@@ -1,63 +1,59 @@
 """Deterministic dedup on a natural key.
 
 keep_first picks, per key, the row that sorts first on ``order`` (ascending,
-NULLs first, as a Spark row_number would) and returns the other rows as
-discards.
-
-Plan shape, chosen for skew: the winner is a ``min(struct(order..., row))``
-aggregate, so Spark does a partial aggregation before the shuffle and a key
-holding a third of the data ships one row per map task, not its whole group.
-Discards are the multiset difference ``rows - kept`` (``exceptAll``), an
-aggregation on the full row that is also combined map-side. No window ever
-holds a whole key group in one task.
+NULLs first, as a Spark row_number would); discarded gives the other rows.
+
+Plan shape, chosen for skew: the winner is ``row_number() = 1``, which Spark
+limits to one row per key inside each map task before the shuffle
+(WindowGroupLimit), so a key holding a third of the data ships one row per
+task. Discards touch only keys seen more than once: the repeated keys come
+from a map-side combined count, the few rows that have them are semi-joined
+(AQE splits a hot key), and the winners are taken off by an anti-join or a
+map-side combined multiset difference. No task holds a whole key group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-
-def _winner_struct(df: DataFrame, order: Sequence[str]):
-    fields = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
-    return F.struct(*fields, F.struct(*[F.col(c) for c in df.columns]).alias("_row"))
-
-
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the first by ``order``.
 
-    The order is total without any extra column: after ``order`` the struct
-    compares the whole row, field by field, so rows equal on ``order`` but
-    different elsewhere are still chosen reproducibly (and fully identical
-    rows are interchangeable).
+    The order is total without any extra column: after ``order`` the whole
+    row decides, column by column, so rows equal on ``order`` but different
+    elsewhere are still chosen reproducibly (and fully identical rows are
+    interchangeable).
     """
-    return (
-        df.groupBy(*key)
-        .agg(F.min(_winner_struct(df, list(order))).alias("_w"))
-        .select("_w._row.*")
-    )
+    rest = [c for c in df.columns if c not in {*key, *order}]
+    w = Window.partitionBy(*key).orderBy(*order, *rest)
+    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
+def _of_repeated_keys(df: DataFrame, repeated: DataFrame, key: Sequence[str]) -> DataFrame:
+    r = repeated.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)])
+    same = reduce(and_, [df[c].eqNullSafe(r[f"_k{i}"]) for i, c in enumerate(key)])
+    return df.join(r, same, "left_semi")
 
 
-def discarded(df: DataFrame, kept: DataFrame,
+def discarded(df: DataFrame, kept: DataFrame, key: Sequence[str],
               identity: Sequence[str] | None = None) -> DataFrame:
-    """Every row of ``df`` not chosen.
+    """Every row of ``df`` not chosen, duplicates of the winner included.
 
-    Without ``identity``: the multiset difference (duplicates of the winner
-    are discards), which shuffles both full inputs. With a unique row
-    ``identity``: an anti-join on it, which shuffles only the identity columns
-    of the kept side.
+    Only rows whose key occurs more than once are looked at. With a unique row
+    ``identity`` the winners go by an anti-join on it; without one they go by
+    the multiset difference of those rows.
     """
+    repeated = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    rows = _of_repeated_keys(df, repeated, key)
     if identity:
-        return df.join(kept.select(*identity), list(identity), "left_anti")
-    return df.exceptAll(kept.select(*df.columns))
-
-
-def split(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    kept = keep_first(df, key, order)
-    return kept, discarded(df, kept)
+        return rows.join(kept.select(*identity), list(identity), "left_anti")
+    return rows.exceptAll(_of_repeated_keys(kept.select(*df.columns), repeated, key))
 
 
 def key_conflicts(df: DataFrame, key: Sequence[str], value: str) -> DataFrame:

@@ -43,11 +43,14 @@ def brute_keep_first(rows):
 @given(rows_st)
 def test_keep_first_matches_brute_force(spark, rows):
     df = to_df(spark, rows)
-    kept, disc = dedup.split(df, ["reseller_cnpj", "collection_date"], ["price", "name"])
+    key = ["reseller_cnpj", "collection_date"]
+    kept = dedup.keep_first(df, key, ["price", "name"])
+    disc = dedup.discarded(df, kept, key)
     got = sorted((int(r.reseller_cnpj), (r.collection_date - dt.date(2024, 1, 1)).days,
                   r.price, r.name) for r in kept.collect())
     assert got == brute_keep_first(rows)
     assert kept.count() + disc.count() == len(rows)
+    assert kept.unionByName(disc).exceptAll(df).count() == 0
 
 
 def _hash(name, brand):

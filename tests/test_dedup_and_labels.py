@@ -10,7 +10,8 @@ def test_keep_first_lowest_price_then_name_then_file(spark):
     rows = [("k1", 5.0, "B", "f2"), ("k1", 4.0, "Z", "f9"), ("k1", 4.0, "A", "f3"),
             ("k1", 4.0, "A", "f1"), ("k2", 7.0, "X", "f1"), ("k2", 7.0, "X", "f1")]
     df = spark.createDataFrame(rows, "k string, price double, name string, file string")
-    kept, disc = dedup.split(df, ["k"], ["price", "name", "file"])
+    kept = dedup.keep_first(df, ["k"], ["price", "name", "file"])
+    disc = dedup.discarded(df, kept, ["k"])
     got = {r.k: (r.price, r.name, r.file) for r in kept.collect()}
     assert got == {"k1": (4.0, "A", "f1"), "k2": (7.0, "X", "f1")}
     # discards keep the duplicate copy of the winner
@@ -60,6 +61,6 @@ def test_discards_by_identity_equal_multiset_difference(spark):
     rows = [(i, i % 4, (i * 7) % 5, f"n{i % 3}") for i in range(60)]
     df = spark.createDataFrame(rows, "id int, k int, price int, name string")
     kept = dedup.keep_first(df, ["k"], ["price", "name"])
-    a = sorted(dedup.discarded(df, kept).collect())
-    b = sorted(dedup.discarded(df, kept, identity=["id"]).collect())
+    a = sorted(dedup.discarded(df, kept, ["k"]).collect())
+    b = sorted(dedup.discarded(df, kept, ["k"], identity=["id"]).collect())
     assert a == b and len(a) == 56
