@@ -2,15 +2,15 @@
 
 Shapes and why they hold at scale:
 
-* Snapshots are one row per (key, date). They come from an aggregate
-  (``min(struct(hash, attrs))``) that combines map-side, so a key holding a
-  third of the observations ships one row per (key, date, task).
+* Snapshots are one row per (key, date): ``row_number() = 1`` by hash, limited
+  to one row per (key, date) in each map task before the shuffle, so a key
+  holding a third of the observations ships one row per (key, date, task).
 * All windows (change detection, validity end, switches, contiguity) are
   partitioned by the key alone and run on snapshots or versions, whose count
   per key is bounded by the number of distinct dates, not by observations.
 * The as-of join never pairs every observation with every version of its
-  key: it resolves distinct (key, date) pairs against versions split into
-  month buckets, then equi-joins back on (key, date).
+  key: distinct (key, date) pairs and version starts are sorted together per
+  key, the last start wins, and the result is equi-joined back on (key, date).
 * The incremental apply is one pass for any number of dates: work is
   proportional to the keys touched, with no per-date loop.
 """
@@ -19,12 +19,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricegrid import constants as K
 from pricegrid.functions.keys import attribute_hash, version_key
-from pricegrid.operators import checks
 
 KEY = "reseller_cnpj"
 DATE = "collection_date"
@@ -38,14 +37,11 @@ def _open_end():
 # ---------------------------------------------------------------- labels / snapshots
 
 def canonicalise(df: DataFrame, aliases: DataFrame, col: str = "brand") -> DataFrame:
-    """Replace a label by its canonical form where the alias map has one.
-
-    The alias map is a hand-curated list (tens of rows): broadcast behind a
-    row-count check, left to AQE beyond it.
-    """
+    """Replace a label by its canonical form where the alias map has one. AQE
+    broadcasts the map when its measured bytes allow it."""
     a = aliases.select(F.col("source_brand").alias("_src"),
                        F.col("canonical_brand").alias("_canon"))
-    out = df.join(checks.broadcast_if_small(a), df[col] == a["_src"], "left")
+    out = df.join(a, df[col] == a["_src"], "left")
     return out.select(*[F.coalesce("_canon", col).alias(col) if c == col else F.col(c)
                         for c in df.columns])
 
@@ -62,15 +58,19 @@ def snapshot_conflicts(raw: DataFrame, key: str = KEY, date: str = DATE) -> Data
             .where(F.col("states_on_day") > 1))
 
 
+def one_state(raw: DataFrame, attrs: Sequence[str], key: str = KEY,
+              date: str = DATE) -> DataFrame:
+    """One of the states per (key, date): the smallest hash wins; equal hashes
+    (NULL vs '') fall back to the attribute values so the choice is total."""
+    w = Window.partitionBy(key, date).orderBy(HASH, *attrs)
+    return raw.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
 def snapshots(obs: DataFrame, attrs: Sequence[str], key: str = KEY,
               date: str = DATE) -> DataFrame:
-    """One state per (key, date): the smallest hash wins; equal hashes (NULL vs
-    '') fall back to the attribute values so the choice is total."""
-    pick = F.min(F.struct(attribute_hash(attrs).alias(HASH),
-                          *[F.col(a) for a in attrs])).alias("_s")
-    return (obs.groupBy(key, date).agg(pick)
-            .select(key, date, *[F.col(f"_s.{a}").alias(a) for a in attrs],
-                    F.col(f"_s.{HASH}").alias(HASH)))
+    """One attribute state per (key, date) of observations, with its hash."""
+    raw = obs.select(key, date, *attrs, attribute_hash(attrs).alias(HASH))
+    return one_state(raw, attrs, key, date)
 
 
 # ---------------------------------------------------------------- one-shot build
@@ -140,14 +140,11 @@ def resolve_pairs(pairs: DataFrame, dim: DataFrame, carry: Sequence[str],
     return p.join(ver, cond, how).select(key, date, "valid_from", "valid_to", *carry)
 
 
-def as_of(obs: DataFrame, dim: DataFrame, carry: Sequence[str] = ("station_key",),
+def as_of_months(obs: DataFrame, dim: DataFrame, carry: Sequence[str] = ("station_key",),
           key: str = KEY, date: str = DATE, how: str = "inner") -> DataFrame:
-    """Each observation with the version in force on its date.
-
-    Same rows as ``obs JOIN dim ON key AND date >= valid_from AND date <
-    valid_to`` (duplicates included if the dimension overlaps), but per-key
-    cost is pairs x versions-per-month instead of observations x versions.
-    """
+    """The as-of lookup by month buckets: same rows as ``obs JOIN dim ON key AND
+    date >= valid_from AND date < valid_to``, duplicates included if the
+    dimension overlaps; per-key cost is pairs x versions-per-month."""
     carry = list(carry)
     pairs = obs.select(key, date).distinct()
     resolved = resolve_pairs(pairs, dim, carry, key, date, how="inner")
@@ -164,12 +161,14 @@ def as_of_range(obs: DataFrame, dim: DataFrame, carry: Sequence[str] = ("station
     return obs.join(d, cond, how).drop("_dk", "valid_from", "valid_to")
 
 
-def as_of_union(obs: DataFrame, dim: DataFrame, carry: Sequence[str] = ("station_key",),
+def as_of(obs: DataFrame, dim: DataFrame, carry: Sequence[str] = ("station_key",),
                 key: str = KEY, date: str = DATE) -> DataFrame:
-    """As-of by union + window: versions and distinct pairs sorted per key, the
-    last version start at or before each pair wins. Per-key window size is
-    versions + distinct dates. Equal to ``as_of`` on a valid (contiguous,
-    non-overlapping) dimension."""
+    """Each observation with the version in force on its date.
+
+    Union + window: versions and distinct pairs sorted per key, the last
+    version start at or before each pair wins. Per-key window size is versions
+    + distinct dates; 4 exchanges where month buckets need 7. Equal to the
+    interval join on a valid (contiguous, non-overlapping) dimension."""
     carry = list(carry)
     pairs = obs.select(key, date).distinct()
     v = dim.select(key, F.col("valid_from").alias(date),
@@ -236,10 +235,21 @@ def changed_rows(dim: DataFrame, batch: DataFrame, key: str = KEY) -> DataFrame:
             .drop("_ck", "_ch"))
 
 
-def apply_batch(dim: DataFrame, batch: DataFrame, attrs: Sequence[str], key: str = KEY,
-                date: str = DATE) -> DataFrame:
+def _not_late(snaps: DataFrame, high_water, date: str) -> DataFrame:
+    """``snaps``, failing inside the plan on one not later than the high water."""
+    hw = F.lit(high_water).cast("date") if not isinstance(high_water, Column) else high_water
+    late = F.raise_error(F.lit("snapshot not later than the applied high-water date; "
+                               "rebuild these keys"))
+    return (snaps.withColumn("_late", F.when(F.col(date) <= hw, late))
+            .where(F.col("_late").isNull()).drop("_late"))
+
+
+def apply_batch(dim: DataFrame, batch: DataFrame, attrs: Sequence[str], high_water,
+                key: str = KEY, date: str = DATE) -> DataFrame:
     """Upsert of one date (at most one snapshot per key): close the current
-    version of every changed key at the batch date, open the new one."""
+    version of every changed key at the batch date, open the new one. Fails
+    on a snapshot not later than ``high_water``, the last date applied."""
+    batch = _not_late(batch, high_water, date)
     changed = changed_rows(dim, batch, key)
     closing = changed.select(F.col(key).alias("_k"), F.col(date).alias("_d"))
     cur = dim.where("is_current")
@@ -257,24 +267,22 @@ def apply_batch(dim: DataFrame, batch: DataFrame, attrs: Sequence[str], key: str
             .unionByName(closed.select(cols)).unionByName(opened.select(cols)))
 
 
-def apply_range(dim: DataFrame, snaps: DataFrame, attrs: Sequence[str],
-                high_water=None, key: str = KEY, date: str = DATE) -> DataFrame:
+def apply_range(dim: DataFrame, snaps: DataFrame, attrs: Sequence[str], high_water,
+                key: str = KEY, date: str = DATE) -> DataFrame:
     """Apply any number of later dates in one pass.
 
     Closed versions and the versions of untouched keys are kept as they are.
     For touched keys the current version re-enters as a snapshot dated at its
     start, is unioned with the new snapshots, and the ordinary ``build`` runs
-    over that union. Precondition, enforced inside the plan: every new
-    snapshot is later than ``high_water`` (the last date already applied); a
-    late date would otherwise need a rebuild of its keys.
+    over that union. Fails on a snapshot not later than ``high_water`` (the
+    last date already applied): a late date needs a rebuild of its keys.
     """
-    if high_water is not None:
-        hw = F.lit(high_water).cast("date") if isinstance(high_water, str) else high_water
-        snaps = snaps.withColumn(
-            "_late", F.when(F.col(date) <= hw,
-                            F.raise_error(F.lit("apply_range: snapshot not later than the "
-                                                "applied high-water date; rebuild these keys"))))
-        snaps = snaps.where(F.col("_late").isNull()).drop("_late")
+    return apply_later(dim, _not_late(snaps, high_water, date), attrs, key, date)
+
+
+def apply_later(dim: DataFrame, snaps: DataFrame, attrs: Sequence[str], key: str = KEY,
+                date: str = DATE) -> DataFrame:
+    """``apply_range`` for snapshots that the caller has already split from late ones."""
     touched = snaps.select(key).distinct()
     keep = dim.join(touched, key, "left_anti")
     t = dim.join(touched, key, "left_semi")
@@ -300,7 +308,7 @@ def rebuild_keys(dim: DataFrame, snapshots: DataFrame, keys: DataFrame,
 
 def late_keys(snaps: DataFrame, high_water, key: str = KEY, date: str = DATE) -> DataFrame:
     """Keys with a snapshot not later than the applied high-water date."""
-    hw = F.lit(high_water).cast("date") if isinstance(high_water, str) else high_water
+    hw = F.lit(high_water).cast("date") if not isinstance(high_water, Column) else high_water
     return snaps.where(F.col(date) <= hw).select(key).distinct()
 
 

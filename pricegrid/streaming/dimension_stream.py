@@ -1,36 +1,36 @@
 """Incremental station dimension fed by a stream of observations.
 
-Each micro-batch (``foreachBatch``) becomes one ``scd2.apply_range`` over all
-dates it holds: one job per batch instead of one upsert per date. Versions of
-the dimension are folders ``<root>/v-<batch_id>``; a small Parquet log records
-every committed batch (id, version path, high-water date, opened, closed), and
-the current dimension is the version named by the last log entry.
+Each micro-batch (``foreachBatch``) stores its snapshots under
+``<root>/snapshots/batch=<id>`` and applies them in one job: snapshots later than
+the high-water mark by ``scd2.apply_range``; keys with a snapshot at or before
+it (a date split over two files, late files) are rebuilt from all their
+stored snapshots. Versions of the dimension are folders ``<root>/v-<batch_id>``;
+a small Parquet log records every committed batch, ``<log>-dates`` what each
+date opened and closed, and the current dimension is the version named by the
+last log entry.
 
 Failure model: a batch replayed after a crash either finds its id in the log
-(skipped: no double apply) or recomputes the same version folder from the
-same previous version (deterministic overwrite) and then logs it. A batch
-holding a date not later than the logged high-water mark fails the query.
+(skipped: no double apply) or recomputes the same folders from the same
+previous version (deterministic overwrite) and then logs it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from pricegrid.operators import scd2
+from pricegrid.sources import tables
 
 LOG_SCHEMA = ("batch_id bigint, version_path string, high_water date, snapshots bigint, "
               "versions bigint")
 
 
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
-    try:
-        return spark.read.parquet(log_path)
-    except AnalysisException:
-        return spark.createDataFrame([], LOG_SCHEMA)
+    log = tables.read_or_none(spark, log_path)
+    return spark.createDataFrame([], LOG_SCHEMA) if log is None else log
 
 
 def current(spark: SparkSession, root: str, log_path: str):
@@ -41,6 +41,21 @@ def current(spark: SparkSession, root: str, log_path: str):
     return spark.read.parquet(last.version_path), last.high_water, last.batch_id
 
 
+def _stored(root: str, batch_id: int) -> str:
+    return f"{root.rstrip('/')}/snapshots/batch={batch_id}"
+
+
+def applied(dim: DataFrame, snaps: DataFrame, history: DataFrame, attrs: Sequence[str],
+            high_water) -> DataFrame:
+    """``dim`` with a batch of snapshots: later ones applied, keys with a late
+    one rebuilt from ``history`` (all their snapshots, this batch included)."""
+    late = scd2.late_keys(snaps, high_water)
+    on_time = snaps.join(late, scd2.KEY, "left_anti")
+    new = scd2.apply_later(dim, on_time, attrs)  # keys without a late date
+    return scd2.rebuild_keys(new, scd2.one_state(history.join(late, scd2.KEY, "left_semi"), attrs),
+                             late, attrs)
+
+
 def start(spark: SparkSession, observations: DataFrame, attrs: Sequence[str], root: str,
           log_path: str, checkpoint: str, canonical=None, available_now: bool = True):
     """Start the stream; ``observations`` is a streaming DataFrame of clean
@@ -54,20 +69,24 @@ def start(spark: SparkSession, observations: DataFrame, attrs: Sequence[str], ro
             return  # already committed: replay is a no-op
         dim, hw, _ = current(s, root, log_path)
         obs = canonical(batch) if canonical else batch
-        snaps = scd2.snapshots(obs, attrs)
+        scd2.snapshots(obs, attrs).write.mode("overwrite").parquet(_stored(root, batch_id))
+        snaps = s.read.parquet(_stored(root, batch_id))
         if dim is None:
             new = scd2.build(snaps, attrs)
         else:
-            new = scd2.apply_range(dim, snaps, attrs, high_water=F.lit(hw))
+            history = (s.read.parquet(f"{root.rstrip('/')}/snapshots")
+                       .where(F.col("batch") <= batch_id).drop("batch"))
+            new = applied(dim, snaps, history, attrs, hw)
         path = f"{root.rstrip('/')}/v-{batch_id}"
         new.write.mode("overwrite").parquet(path)
         written = s.read.parquet(path)
-        stats = snaps.agg(F.max("collection_date").alias("high_water"),
-                          F.count(F.lit(1)).alias("snapshots"))
+        before = written.limit(0) if dim is None else dim
+        (scd2.batch_log(before, written, snaps)
+         .write.mode("overwrite").parquet(f"{log_path.rstrip('/')}-dates/batch={batch_id}"))
+        stats = snaps.agg(F.max("collection_date").alias("last"), F.count(F.lit(1)).alias("snapshots"))
         entry = stats.select(F.lit(batch_id).cast("bigint").alias("batch_id"),
                              F.lit(path).alias("version_path"),
-                             F.coalesce(F.col("high_water"), F.lit(hw).cast("date"))
-                             .alias("high_water"),
+                             F.greatest("last", F.lit(hw).cast("date")).alias("high_water"),
                              "snapshots", F.lit(written.count()).cast("bigint").alias("versions"))
         entry.write.mode("append").parquet(log_path)
 
@@ -77,14 +96,15 @@ def start(spark: SparkSession, observations: DataFrame, attrs: Sequence[str], ro
     return w.start()
 
 
-def seed(spark: SparkSession, dim: DataFrame, high_water, root: str, log_path: str,
-         batch_id: int = -1) -> str:
+def seed(spark: SparkSession, dim: DataFrame, snapshots: DataFrame, high_water, root: str,
+         log_path: str, batch_id: int = -1) -> str:
     """Commit an existing dimension (e.g. a one-shot build of the history) as
-    the starting version, with the last date it covers as high-water mark."""
+    the starting version, with the snapshots it was built from and the last
+    date it covers as high-water mark."""
     path = f"{root.rstrip('/')}/v-seed"
     dim.write.mode("overwrite").parquet(path)
+    snapshots.write.mode("overwrite").parquet(_stored(root, batch_id))
     n = spark.read.parquet(path).count()
-    from pyspark.sql import Column
     hw = high_water if isinstance(high_water, Column) else F.lit(high_water).cast("date")
     (spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"),
                            F.lit(path).alias("version_path"), hw.alias("high_water"),

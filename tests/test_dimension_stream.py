@@ -27,7 +27,7 @@ def test_stream_batches_equal_one_shot_and_replay_is_noop(spark, scratch):
     spark.createDataFrame(b, SCHEMA).coalesce(1).write.parquet(feed + "/b")
     root, log, ckpt = scratch("dim"), scratch("log"), scratch("ckpt")
     h = spark.createDataFrame(hist, SCHEMA)
-    DS.seed(spark, scd2.build(scd2.snapshots(h, ATTRS), ATTRS), dt.date(2024, 1, 10), root, log)
+    DS.seed(spark, scd2.build(scd2.snapshots(h, ATTRS), ATTRS), scd2.snapshots(h, ATTRS), dt.date(2024, 1, 10), root, log)
 
     def start():
         stream = (spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1)
@@ -48,14 +48,29 @@ def test_stream_batches_equal_one_shot_and_replay_is_noop(spark, scratch):
     assert DS.read_log(spark, log).count() == 3
 
 
-def test_stream_refuses_late_dates(spark, scratch):
-    feed = scratch("feed")
-    spark.createDataFrame(rows(range(3, 6), 2), SCHEMA).write.parquet(feed)
-    root, log = scratch("dim"), scratch("log")
-    h = spark.createDataFrame(rows(range(0, 10), 4), SCHEMA)
-    DS.seed(spark, scd2.build(scd2.snapshots(h, ATTRS), ATTRS), dt.date(2024, 1, 10), root, log)
-    stream = spark.readStream.schema(SCHEMA).parquet(feed)
-    q = DS.start(spark, stream, ATTRS, root, log, scratch("ckpt"))
-    with pytest.raises(Exception, match="high-water"):
-        q.awaitTermination()
-    assert DS.read_log(spark, log).count() == 1
+def test_late_and_split_dates_rebuild_their_keys(spark, scratch):
+    """Dates before the high water, and one date in two files, end like a one-shot build."""
+    hist = [r for r in rows(range(0, 10), 4) if not (r[0] == "1" and r[1].day in (4, 5, 6))]
+    late = [r for r in rows(range(0, 10), 4) if r[0] == "1" and r[1].day in (4, 5, 6)]
+    split = rows(range(10, 14), 2)
+    root, log, ckpt, feed = scratch("dim"), scratch("log"), scratch("ckpt"), scratch("feed")
+    h = spark.createDataFrame(hist, SCHEMA)
+    DS.seed(spark, scd2.build(scd2.snapshots(h, ATTRS), ATTRS), scd2.snapshots(h, ATTRS), dt.date(2024, 1, 10), root, log)
+    for part in (split[::2], late + split[1::2]):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(feed)
+        stream = spark.readStream.schema(SCHEMA).parquet(feed)
+        DS.start(spark, stream, ATTRS, root, log, ckpt).awaitTermination()
+    dim, high_water, _ = DS.current(spark, root, log)
+    full = scd2.build(scd2.snapshots(spark.createDataFrame(hist + late + split, SCHEMA), ATTRS), ATTRS)
+    d = compare.symmetric_diff(full, dim, full.columns, multiset=True).first()
+    assert (d.only_in_left, d.only_in_right) == (0, 0) and str(high_water) == "2024-01-14"
+    assert spark.read.parquet(log + "-dates").select("batch").distinct().count() == 2
+
+
+def test_a_broken_log_is_not_taken_for_a_missing_one(spark, scratch):
+    import os
+    log = scratch("log")
+    os.makedirs(log)  # a folder without a table
+    with pytest.raises(Exception, match="(?i)schema"):
+        DS.read_log(spark, log)
+    assert DS.read_log(spark, scratch("none")).count() == 0

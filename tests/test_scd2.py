@@ -59,7 +59,7 @@ def test_as_of_forms_agree_with_range_join(spark):
     cols = ["reseller_cnpj", "collection_date", "station_key"]
     a = sorted(scd2.as_of(o, dim).select(cols).collect())
     b = sorted(scd2.as_of_range(o, dim).select(cols).collect())
-    c = sorted(scd2.as_of_union(o, dim).select(cols).collect())
+    c = sorted(scd2.as_of_months(o, dim).select(cols).collect())
     assert a == b == c and len(a) == o.count()
     for name, df in [("single", scd2.check_single_current(dim)),
                      ("contiguous", scd2.check_contiguous(dim)),
@@ -104,6 +104,10 @@ def test_late_snapshot_is_refused(spark):
     late = snaps.where("collection_date >= '2024-01-20'")
     with pytest.raises(Exception, match="high-water"):
         scd2.apply_range(base, late, ATTRS, high_water="2024-01-31").count()
+    with pytest.raises(Exception, match="high-water"):
+        scd2.apply_batch(base, snaps.where("collection_date = '2024-01-20'"), ATTRS, "2024-01-31").count()
+    with pytest.raises(TypeError):
+        scd2.apply_range(base, late, ATTRS)  # the guard is not optional
 
 
 def test_apply_batch_matches_rebuild_for_one_date(spark):
@@ -111,7 +115,7 @@ def test_apply_batch_matches_rebuild_for_one_date(spark):
     snaps = scd2.snapshots(o, ATTRS)
     base = scd2.build(snaps.where("collection_date < '2024-02-01'"), ATTRS)
     one = snaps.where("collection_date = '2024-02-01'")
-    got = scd2.apply_batch(base, one, ATTRS)
+    got = scd2.apply_batch(base, one, ATTRS, "2024-01-31")
     want = scd2.build(snaps.where("collection_date <= '2024-02-01'"), ATTRS)
     cols = ["reseller_cnpj", "valid_from", "valid_to", "attribute_hash", "is_current"]
     d = compare.symmetric_diff(want, got, cols).first()
