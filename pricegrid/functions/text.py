@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,18 +32,10 @@ def strict_date(c, fmt: str = K.DATE_FORMAT) -> Column:
 
 def decimal_comma(c, type_: str = K.PRICE_TYPE) -> Column:
     """'4,599' -> 4.599 as DECIMAL(10,3) or NULL; rounds half up."""
-    return F.regexp_replace(_col(c), ",", ".").try_cast(type_)
-
-
-def fold_name(c) -> Column:
-    """Header folding: drop BOM, strip accents, trim, lower.
+    return F.replace(_col(c), F.lit(","), F.lit(".")).try_cast(type_)
 
-    Accents are removed by a fixed character translation (Latin-1 letters
-    used by the survey header) rather than a Python UDF, so the check runs
-    inside whole-stage codegen.
-    """
-    src = "ÁÀÂÃÄáàâãäÉÈÊËéèêëÍÌÎÏíìîïÓÒÔÕÖóòôõöÚÙÛÜúùûüÇçÑñ"
-    dst = "AAAAAaaaaaEEEEeeeeIIIIiiiiOOOOOoooooUUUUuuuuCcNn"
-    cleaned = F.regexp_replace(_col(c), "\ufeff", "")
-    return F.lower(F.trim(F.translate(cleaned, src, dst)))
 
+def fold_name(name: str) -> str:
+    """Header folding: drop BOM, accents (composed or decomposed) and case, trim."""
+    plain = unicodedata.normalize("NFKD", name.replace("\ufeff", ""))
+    return "".join(c for c in plain if not unicodedata.combining(c)).strip().lower()

@@ -1,7 +1,7 @@
 """Bronze text -> typed silver rows, with every unusable row kept as a reject.
 
-One converted plan feeds both outputs, so the accept and reject rules cannot
-drift apart. Conversion is tolerant (try_to_date / try_cast): a value that
+``classify`` converts each row once and adds the reject reason (NULL: accepted);
+materialise it, and both outputs are plain filters on that column. Conversion is tolerant (try_to_date / try_cast): a value that
 does not convert becomes NULL and is then classified, never raised.
 """
 
@@ -58,37 +58,28 @@ def convert(df: DataFrame) -> DataFrame:
     )
 
 
-def is_reject() -> Column:
-    cnpj = F.col("reseller_cnpj")
-    return (F.col("collection_date").isNull() | F.col("sale_price").isNull()
-            | cnpj.isNull() | (F.length(cnpj) != K.TAX_ID_LENGTH)
-            | F.col("product").isNull())
-
-
 def reason() -> Column:
-    """First matching reason wins: date, price, tax id, product."""
+    """First matching reason wins: date, price, tax id, product; NULL: usable."""
     cnpj = F.col("reseller_cnpj")
     return (F.when(F.col("collection_date").isNull(), K.REJECT_DATE)
             .when(F.col("sale_price").isNull(), K.REJECT_PRICE)
             .when(cnpj.isNull() | (F.length(cnpj) != K.TAX_ID_LENGTH), K.REJECT_TAX_ID)
-            .otherwise(K.REJECT_PRODUCT))
+            .when(F.col("product").isNull(), K.REJECT_PRODUCT))
 
 
-def rejects(converted: DataFrame, with_clock: bool = False) -> DataFrame:
-    out = converted.where(is_reject()).select(
-        "source_file", "collection_date_raw", "sale_price_raw", "reseller_cnpj_raw",
-        "product", reason().alias("reason"))
-    return out.withColumn("evaluated_at", F.current_timestamp()) if with_clock else out
+def classify(df: DataFrame) -> DataFrame:
+    """Converted rows with their reject ``reason``."""
+    return convert(df).withColumn("reason", reason())
 
 
-def accepted(converted: DataFrame) -> DataFrame:
-    keep = SILVER_COLUMNS + [c for c in converted.columns
-                             if c not in SILVER_COLUMNS and not c.endswith("_raw")]
-    return converted.where(~is_reject()).select(*keep)
+def rejects(classified: DataFrame, with_clock: bool = False) -> DataFrame:
+    out = classified.where(F.col("reason").isNotNull()).select(*REJECT_COLUMNS)
+    return out.withColumn("evaluated_at", F.current_timestamp()) if with_clock else out
 
 
-def split(converted: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return accepted(converted), rejects(converted)
+def accepted(classified: DataFrame, carry=()) -> DataFrame:
+    """The silver columns, and those of ``carry``, of usable rows."""
+    return classified.where(F.col("reason").isNull()).select(*SILVER_COLUMNS, *carry)
 
 
 def reason_counts(rej: DataFrame) -> DataFrame:

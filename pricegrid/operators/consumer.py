@@ -22,11 +22,16 @@ def selective(fact: DataFrame, dim_product: DataFrame, date_from: str, date_to:
 
 
 def broad(fact: DataFrame, dim_station: DataFrame) -> DataFrame:
-    """Median price per (state, year) over the whole fact."""
+    """Median price per (state, year) over the whole fact. Prices are counted
+    per (state, year, price) first, by as many tasks as there are prices; the
+    few groups then take a weighted percentile of distinct prices."""
     s = dim_station.select("station_key", "state")
-    return (fact.join(s, "station_key")
-            .groupBy("state", F.year("collection_date").cast("bigint").alias("year"))
-            .agg(F.round(F.percentile("sale_price", 0.5), 4).alias("median_price")))
+    counted = (fact.join(s, "station_key")
+               .groupBy("state", F.year("collection_date").cast("bigint").alias("year"), "sale_price")
+               .agg(F.count(F.lit(1)).alias("n")))
+    return (counted.groupBy("state", "year")
+            .agg(F.round(F.percentile(F.col("sale_price").cast("double"), 0.5, F.col("n")), 4)
+                 .alias("median_price")))
 
 
 def lookup(fact: DataFrame, dim_station: DataFrame, cnpj: str) -> DataFrame:

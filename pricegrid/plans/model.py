@@ -40,16 +40,17 @@ class SurveyModel:
         return T.raw_text(self.spark, self.sf_dir)
 
     @cached_property
-    def converted(self) -> DataFrame:
-        return clean.convert(clean.drop_blank(self.bronze))
+    def classified(self) -> DataFrame:
+        # converted and judged once; accepted and rejects are filters on it
+        return self._table(clean.classify(clean.drop_blank(self.bronze)))
 
     @cached_property
     def accepted(self) -> DataFrame:
-        return clean.accepted(self.converted)
+        return clean.accepted(self.classified)
 
     @cached_property
     def rejects(self) -> DataFrame:
-        return clean.rejects(self.converted)
+        return clean.rejects(self.classified)
 
     # ---- modelling path
     @cached_property
@@ -63,7 +64,7 @@ class SurveyModel:
 
     @cached_property
     def discarded(self) -> DataFrame:
-        return dedup.discarded(self.observations, self.kept,
+        return dedup.discarded(self.observations, self.kept, K.OBSERVATION_KEY,
                                identity=T.ROW_IDENTITY + ["reseller_cnpj"])
 
     @cached_property
@@ -118,14 +119,17 @@ class SurveyModel:
 
     @cached_property
     def base_dim(self) -> DataFrame:
-        return scd2.build(self.snapshots.where(F.col("collection_date") < self.cut()), self.attrs)
+        return self._table(scd2.build(self.snapshots.where(F.col("collection_date") < self.cut()), self.attrs))
 
     @cached_property
     def later_snapshots(self) -> DataFrame:
         return self.snapshots.where(F.col("collection_date") >= self.cut())
 
     @cached_property
-    def incremental_dim(self) -> DataFrame:
-        hw = self.snapshots.where(F.col("collection_date") < self.cut()).agg(
+    def high_water(self):
+        return self.snapshots.where(F.col("collection_date") < self.cut()).agg(
             F.max("collection_date")).scalar()
-        return scd2.apply_range(self.base_dim, self.later_snapshots, self.attrs, high_water=hw)
+
+    @cached_property
+    def incremental_dim(self) -> DataFrame:
+        return self._table(scd2.apply_range(self.base_dim, self.later_snapshots, self.attrs, self.high_water))

@@ -37,9 +37,9 @@ def test_squeeze_only_ascii_spaces(spark):
     assert one_col(spark, ["12.345.678/0001-90"], digits) == ["12345678000190"]
 
 
-def test_fold_name(spark):
-    got = one_col(spark, ["\ufeffRegiao - Sigla", "Município", " CNPJ da Revenda "], fold_name)
-    assert got == ["regiao - sigla", "municipio", "cnpj da revenda"]
+def test_fold_name():
+    names = ["\ufeffRegiao - Sigla", "Município", "Munici\u0301pio", " CNPJ da Revenda ", "ĄŽŐ"]
+    assert [fold_name(n) for n in names] == ["regiao - sigla", "municipio", "municipio", "cnpj da revenda", "azo"]
 
 
 def _bronze_row(**kw):
@@ -65,8 +65,8 @@ def test_reject_first_reason_wins_and_blank_rows(spark):
     df = spark.createDataFrame([tuple(r[c] for c in K.BRONZE_COLUMNS) for r in rows], schema)
     df = df.withColumn("source_file", F.lit("f1"))
     assert clean.blank_rows(df).count() == 1
-    conv = clean.convert(clean.drop_blank(df))
-    ok, rej = clean.split(conv)
+    judged = clean.classify(clean.drop_blank(df))
+    ok, rej = clean.accepted(judged), clean.rejects(judged)
     reasons = sorted(r.reason for r in rej.collect())
     assert reasons == sorted([K.REJECT_DATE, K.REJECT_PRICE, K.REJECT_TAX_ID, K.REJECT_PRODUCT])
     good = ok.collect()
