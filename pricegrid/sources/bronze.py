@@ -2,10 +2,10 @@
 
 Reading is by position: the survey header has accented, spaced names, so the
 schema uses the header text as field names and the 16 columns are renamed
-by position afterwards. Two guards check the layout: Spark's own per-file
-header check (``enforceSchema=false``, case-insensitive, BOM stripped) and
-``check_layout``, which folds accents and case and reports every mismatching
-file and position.
+by position afterwards. ``require_layout`` is the guard: it folds accents and
+case of every new file's header and reports each mismatching file and
+position; files that pass are read with the schema enforced. Rows with too few
+or too many fields keep their whole text in ``malformed_record``.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ CSV_OPTIONS = {
     "recursiveFileLookup": "true",
 }
 CORRUPT = "_corrupt_record"
+MALFORMED = "malformed_record"
+HEADER_BYTES = 1 << 20  # a longer first line is no survey header
 
 
 def source_schema(header: Sequence[str] = K.SOURCE_HEADER, corrupt: bool = False) -> T.StructType:
@@ -47,14 +49,21 @@ def provenance() -> list:
             F.current_timestamp().alias("ingested_at")]
 
 
+def rows_of(reader, path: str, header: Sequence[str] = K.SOURCE_HEADER,
+            names: Sequence[str] = K.BRONZE_COLUMNS) -> DataFrame:
+    """Bronze rows from a batch or stream reader: text columns by position, the
+    text of malformed rows, provenance. Every data column is referenced, so
+    column pruning cannot hide a wrong field count."""
+    df = (reader.schema(source_schema(header, corrupt=True)).options(**CSV_OPTIONS)
+          .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    return df.select(*_positional(df, header, names), F.col(CORRUPT).alias(MALFORMED),
+                     *provenance())
+
+
 def read_batch(spark: SparkSession, path: str, header: Sequence[str] = K.SOURCE_HEADER,
-               names: Sequence[str] = K.BRONZE_COLUMNS, strict_header: bool = True) -> DataFrame:
+               names: Sequence[str] = K.BRONZE_COLUMNS) -> DataFrame:
     """Batch read of the landing folder with the bronze projection."""
-    r = spark.read.schema(source_schema(header)).options(**CSV_OPTIONS)
-    if strict_header:
-        r = r.option("enforceSchema", "false")
-    df = r.csv(path)
-    return df.select(*_positional(df, header, names), *provenance())
+    return rows_of(spark.read, path, header, names)
 
 
 def write_landing(df: DataFrame, path: str, file_col: str = "source_file",
@@ -74,58 +83,56 @@ def _norm_path(c):
     return F.regexp_replace(c, r"^file:/+", "/")
 
 
-def check_layout(spark: SparkSession, path: str,
-                 expected: Sequence[str] = K.SOURCE_HEADER,
-                 known: DataFrame | None = None) -> DataFrame:
-    """Per-file header contract: one row per file whose first line does not
-    match ``expected`` by position after folding BOM, accents and case.
-
-    File paths come from the binaryFile listing (content not read); the first
-    line of each file is read by a small per-file helper in ``mapInPandas``,
-    so every file is checked in parallel, never a sample. ``known`` (a
-    DataFrame with a ``source_file`` column, e.g. the bronze table) removes
-    files already ingested, so a run checks only new files.
-    """
+def new_files(spark: SparkSession, path: str, known: DataFrame | None = None) -> DataFrame:
+    """(path) of the CSV files under ``path`` that ``known`` (path) doesn't list.
+    The binaryFile listing reads no content."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.csv").load(path).select("path"))
-    if known is not None:
-        seen = known.select(_norm_path(F.col("source_file")).alias("_p")).distinct()
-        files = (files.withColumn("_p", _norm_path(F.col("path")))
-                 .join(seen, "_p", "left_anti").select("path"))
+    if known is None:
+        return files
+    seen = known.select(_norm_path(F.col("path")).alias("_p"))
+    return (files.withColumn("_p", _norm_path(F.col("path")))
+            .join(seen, "_p", "left_anti").select("path"))
+
+
+def check_layout(files: DataFrame, expected: Sequence[str] = K.SOURCE_HEADER) -> DataFrame:
+    """Per-file header contract: one row per file of ``files`` (path) whose first
+    line does not match ``expected`` by position after folding BOM, accents and
+    case. Every file is checked, in parallel; at most ``HEADER_BYTES`` of each
+    are read.
+    """
+    want = [fold_name(h) for h in expected]
 
     def first_lines(it):
         import pandas as pd
         import pyarrow.fs as pafs
         for pdf in it:
-            out = []
+            rows = []
             for p in pdf["path"]:
                 fs, inner = pafs.FileSystem.from_uri(p)
                 with fs.open_input_stream(inner) as fh:
                     head = b""
-                    while b"\n" not in head:
+                    while b"\n" not in head and len(head) < HEADER_BYTES:
                         chunk = fh.read(65536)
                         if not chunk:
                             break
                         head += chunk
-                out.append(head.split(b"\n", 1)[0].decode("utf-8", "replace").rstrip("\r"))
-            yield pd.DataFrame({"path": pdf["path"], "header": out})
-
-    heads = files.mapInPandas(first_lines, "path string, header string")
-    got = F.transform(F.split(F.col("header"), ";"), lambda x: fold_name(x))
-    want = F.transform(F.array(*[F.lit(h) for h in expected]), lambda x: fold_name(x))
-    cmp = heads.select("path", got.alias("read"), want.alias("expected"))
-    diffs = F.filter(
-        F.sequence(F.lit(0), F.greatest(F.size("read"), F.size("expected")) - 1),
-        lambda i: ~F.coalesce(F.get("read", i) == F.get("expected", i), F.lit(False)))
-    return (cmp.where(F.col("read") != F.col("expected"))
-            .select("path", F.size("read").alias("columns_read"),
-                    F.size("expected").alias("columns_expected"),
-                    diffs.alias("positions"), "read", "expected"))
-
-
-def require_layout(spark: SparkSession, path: str, expected=K.SOURCE_HEADER,
-                   known: DataFrame | None = None) -> None:
-    bad = check_layout(spark, path, expected, known).take(20)
+                line = head.split(b"\n", 1)[0].decode("utf-8", "replace").rstrip("\r")
+                read = [fold_name(x) for x in line.split(";")]
+                if read != want:
+                    wide = max(len(read), len(want))
+                    pad = [x + [None] * (wide - len(x)) for x in (read, want)]
+                    at = [i for i, (a, b) in enumerate(zip(*pad)) if a != b]
+                    rows.append((p, len(read), len(want), at, read, want))
+            yield pd.DataFrame(rows, columns=["path", "columns_read", "columns_expected",
+                                              "positions", "read", "expected"])
+
+    return files.mapInPandas(first_lines, "path string, columns_read int, columns_expected int, "
+                             "positions array<int>, read array<string>, expected array<string>")
+
+
+def require_layout(files: DataFrame, expected=K.SOURCE_HEADER) -> None:
+    bad = check_layout(files, expected).take(20)
     if bad:
         lines = [f"{r.path}: {r.columns_read} columns read, {r.columns_expected} expected; "
                  f"positions {r.positions}; read {r.read}" for r in bad]

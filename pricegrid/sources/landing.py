@@ -1,11 +1,12 @@
 """Landing: survey archives -> content-addressed CSV files + audit manifest.
 
-Archives are read with the ``binaryFile`` source (one archive per row, one
-row per task); the SHA-256 of the archive is a Spark expression; members are
-extracted by a small per-archive helper in ``mapInPandas`` that writes each
-CSV straight to the shared landing folder. The file name carries 8 hex
-digits of the archive hash, so a republished archive lands beside the old one
-as a new file and the stream picks it up.
+Only archive paths are listed and dealt out; each task streams its archives
+from the store: the SHA-256 and every CSV member pass through in chunks, so
+no archive or member is held whole. A member is written under a temporary
+name and moved when complete; sizes and line counts are taken from the landed
+file, and a file that an earlier attempt left short is written again. The file
+name carries 8 hex digits of the archive hash, so a republished archive lands
+beside the old one as a new file and the stream picks it up.
 """
 
 from __future__ import annotations
@@ -17,25 +18,44 @@ MANIFEST_SCHEMA = ("semester string, zip_sha256 string, zip_bytes bigint, csv_na
                    "csv_bytes bigint, csv_lines bigint")
 
 
+CHUNK = 8 << 20
+
+
 def archives(spark: SparkSession, path: str) -> DataFrame:
+    """(path, zip_bytes) of the archives; listing only."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
             .option("recursiveFileLookup", "true").load(path)
-            .select("path", "content", F.sha2(F.col("content"), 256).alias("zip_sha256"),
-                    F.col("length").alias("zip_bytes")))
+            .select("path", F.col("length").alias("zip_bytes")))
+
+
+def _chunks(stream):
+    while chunk := stream.read(CHUNK):
+        yield chunk
+
+
+def _measure(fs, path: str) -> tuple[int, int]:
+    """Bytes and lines of a landed file."""
+    size = lines = 0
+    last = b"\n"
+    with fs.open_input_stream(path) as f:
+        for chunk in _chunks(f):
+            size, lines, last = size + len(chunk), lines + chunk.count(b"\n"), chunk[-1:]
+    return size, lines + (last != b"\n")
 
 
 def extract(spark: SparkSession, archive_dir: str, landing_dir: str) -> DataFrame:
     """Extract every .csv member (case-insensitive) of every archive.
 
     Returns one manifest row per member. An archive without a CSV member
-    fails the task (and the job) with its name. Existing targets are not
+    fails the task (and the job) with its name. Complete targets are not
     rewritten, so a re-run is idempotent.
     """
     landing = landing_dir.rstrip("/")
 
     def unzip(it):
-        import io
+        import hashlib
         import os
+        import uuid
         import zipfile
 
         import pandas as pd
@@ -43,31 +63,38 @@ def extract(spark: SparkSession, archive_dir: str, landing_dir: str) -> DataFram
 
         for pdf in it:
             rows = []
-            for path, content, sha, size in zip(pdf["path"], pdf["content"],
-                                                pdf["zip_sha256"], pdf["zip_bytes"]):
+            for path, size in zip(pdf["path"], pdf["zip_bytes"]):
+                source, place = pafs.FileSystem.from_uri(path)
+                digest = hashlib.sha256()
+                with source.open_input_stream(place) as f:
+                    for chunk in _chunks(f):
+                        digest.update(chunk)
+                sha = digest.hexdigest()
                 stem = os.path.basename(path)
                 stem = stem[:-4] if stem.lower().endswith(".zip") else stem
                 semester = stem.split("-", 1)[1] if "-" in stem else stem
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
+                with source.open_input_file(place) as f, zipfile.ZipFile(f) as zf:
                     members = [m for m in zf.infolist() if m.filename.lower().endswith(".csv")]
                     if not members:
                         raise ValueError(f"{path}: archive holds no CSV member")
                     for i, m in enumerate(members):
                         suffix = "" if len(members) == 1 else f"_{i:02d}"
                         name = f"{stem}__{sha[:8]}{suffix}.csv"
-                        fs, inner = pafs.FileSystem.from_uri(f"{landing}/{name}")
-                        data = zf.read(m)
-                        if fs.get_file_info(inner).type == pafs.FileType.NotFound:
-                            fs.create_dir(os.path.dirname(inner), recursive=True)
-                            with fs.open_output_stream(inner) as out:
-                                out.write(data)
-                        lines = data.count(b"\n") + (1 if data and not data.endswith(b"\n") else 0)
-                        rows.append((semester, sha, int(size), name, len(data), lines))
+                        fs, target = pafs.FileSystem.from_uri(f"{landing}/{name}")
+                        found = fs.get_file_info(target)
+                        if found.type == pafs.FileType.NotFound or found.size != m.file_size:
+                            fs.create_dir(os.path.dirname(target), recursive=True)
+                            part = f"{target}.{uuid.uuid4().hex}.part"
+                            with zf.open(m) as member, fs.open_output_stream(part) as out:
+                                for chunk in _chunks(member):
+                                    out.write(chunk)
+                            fs.move(part, target)
+                        rows.append((semester, sha, int(size), name, *_measure(fs, target)))
             yield pd.DataFrame(rows, columns=["semester", "zip_sha256", "zip_bytes", "csv_name",
                                               "csv_bytes", "csv_lines"])
 
-    src = archives(spark, archive_dir).repartition("path")
-    return src.mapInPandas(unzip, MANIFEST_SCHEMA)
+    # only paths cross the network, one archive per row
+    return archives(spark, archive_dir).repartition("path").mapInPandas(unzip, MANIFEST_SCHEMA)
 
 
 def register(manifest: DataFrame, audit: DataFrame | None) -> DataFrame:

@@ -12,12 +12,24 @@ import math
 import uuid
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None if there is none yet. Any other
+    failure is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def setup(spark: SparkSession, schemas: dict[str, str]) -> None:
     """CREATE SCHEMA IF NOT EXISTS ... COMMENT ... for each namespace."""
     for name, comment in schemas.items():
@@ -66,6 +78,13 @@ def files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
             .option("pathGlobFilter", glob).load(path).select("path", "length"))
 
 
+def register(spark: SparkSession, table: str, path: str) -> None:
+    """Point catalog table ``table`` at the version in ``path``. The table is
+    external: re-creating its entry moves no data, and readers see this version."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+
+
 def layout_stats(spark: SparkSession, path: str) -> DataFrame:
     """num_files and size_bytes of a table (re-aimed DESCRIBE DETAIL)."""
     return files(spark, path).agg(F.count(F.lit(1)).alias("num_files"),
@@ -85,11 +104,11 @@ def compact(spark: SparkSession, path: str, out_root: str, name: str,
 
 
 def cluster(spark: SparkSession, path: str, cols: Sequence[str], out_root: str, name: str,
-            n_files: int | None = None, target_bytes: int = TARGET_FILE_BYTES) -> str:
+            target_bytes: int = TARGET_FILE_BYTES) -> str:
     """Range-partition and sort by ``cols`` (re-aimed CLUSTER BY + full rewrite):
     each file then covers a narrow key range, and Parquet row-group min/max
     statistics let filters on ``cols`` skip files and row groups."""
-    n = n_files or target_files(spark, path, target_bytes)
+    n = target_files(spark, path, target_bytes)
     df = spark.read.parquet(path).repartitionByRange(n, *cols).sortWithinPartitions(*cols)
     return replace(df, out_root, name)
 

@@ -132,3 +132,23 @@ def curated_products(spark: SparkSession, rows=None) -> DataFrame:
         "source_product_name string, product_name string, fuel_family string, "
         "unit_of_measure string, is_liquid_fuel boolean, in_default_scope boolean",
     )
+
+
+# Planted cases of registered queries: an alias whose target no row has, a city
+# name of several states.
+ABSENT_ALIAS = ("ZZ", "QQ", "planted: target absent from the data")
+SHARED_CITY = "SANTA RITA"
+
+
+def plant_malformed(spark: SparkSession, sf_dir: str, landing: str) -> None:
+    """Beside the landed files, one file per source with a short or an over-long
+    line for every order with l_orderkey % 101 = 7."""
+    rows = observations(spark, sf_dir).where(F.col("l_orderkey") % 101 == 7)
+    key = F.concat_ws(";", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    line = F.when(F.col("l_linenumber") % 2 == 0, key).otherwise(
+        F.concat(key, F.repeat(F.lit(";v"), len(K.SOURCE_HEADER))))
+    lines = rows.select(line.alias("value"), "source_file", F.lit(1).alias("_o"))
+    heads = lines.select(F.lit(";".join(K.SOURCE_HEADER)).alias("value"), "source_file",
+                         F.lit(0).alias("_o")).distinct()
+    (heads.unionByName(lines).repartition("source_file").sortWithinPartitions("source_file", "_o")
+     .select("value", "source_file").write.mode("append").partitionBy("source_file").text(landing))

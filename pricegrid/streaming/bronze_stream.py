@@ -13,42 +13,38 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from pricegrid import constants as K
-from pricegrid.sources import bronze
+from pricegrid.session import cut_lineage
+from pricegrid.sources import bronze, tables
 
-
-def read_stream(spark: SparkSession, landing: str, header: Sequence[str] = K.SOURCE_HEADER,
-                names: Sequence[str] = K.BRONZE_COLUMNS, max_files: int | None = None) -> DataFrame:
-    """Streaming bronze rows: 16 text columns renamed by position + provenance.
-    ``enforceSchema=false`` makes Spark check every file's header."""
-    r = (spark.readStream.schema(bronze.source_schema(header)).options(**bronze.CSV_OPTIONS)
-         .option("enforceSchema", "false"))
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    s = r.csv(landing)
-    return s.select(*bronze._positional(s, header, names), *bronze.provenance())
+MAX_FILES = 1000  # per micro-batch: bounds the rows of one commit, not the drain
 
 
-def _existing(spark: SparkSession, table_path: str):
-    """The bronze table if it already has data (files in it are not re-checked)."""
-    try:
-        return spark.read.parquet(table_path).select("source_file")
-    except Exception:  # noqa: BLE001 - first run: no table yet
-        return None
+def read_stream(spark: SparkSession, landing: str, header: Sequence[str] = K.SOURCE_HEADER,
+                names: Sequence[str] = K.BRONZE_COLUMNS, max_files: int = MAX_FILES) -> DataFrame:
+    """Streaming bronze rows: 16 text columns by position, malformed text, provenance."""
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
+    return bronze.rows_of(reader, landing, header, names)
 
 
 def ingest(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
-           check_layout: bool = True, header: Sequence[str] = K.SOURCE_HEADER) -> int:
+           header: Sequence[str] = K.SOURCE_HEADER, max_files: int = MAX_FILES) -> int:
     """Drain the landing folder into a Parquet table and stop.
 
-    A full refresh is a new ``table_path`` and a new ``checkpoint`` (nothing is
-    deleted in place). Returns the number of micro-batches run.
+    The headers of new files are checked first. Which files are new comes from
+    a ledger of paths beside the checkpoint, not from the bronze rows. A full
+    refresh is a new ``table_path`` and a new ``checkpoint`` (nothing is
+    deleted in place). Returns the number of micro-batches the checkpoint has
+    committed so far.
     """
-    if check_layout:
-        bronze.require_layout(spark, landing, header, known=_existing(spark, table_path))
-    q = (read_stream(spark, landing, header).writeStream.format("parquet")
+    ledger = f"{checkpoint.rstrip('/')}-files"
+    files = cut_lineage(bronze.new_files(spark, landing, tables.read_or_none(spark, ledger)), "files")
+    bronze.require_layout(files, header)
+    q = (read_stream(spark, landing, header, max_files=max_files).writeStream.format("parquet")
          .option("path", table_path).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return len(q.recentProgress)
+    files.write.mode("append").parquet(ledger)
+    last = q.lastProgress
+    return 0 if last is None else last["batchId"] + 1

@@ -46,17 +46,26 @@ def test_header_contract_folds_accents_and_reports_positions(spark, scratch):
     land = scratch("land")
     folded = [h.replace("í", "i") for h in K.SOURCE_HEADER]
     write(land, "ok.csv", [";".join(folded).upper(), ROW])
-    assert bronze.check_layout(spark, land).count() == 0
+    decomposed = [h.replace("í", "i\u0301") for h in K.SOURCE_HEADER]
+    write(land, "decomposed.csv", [";".join(decomposed), ROW])
+    assert bronze.check_layout(bronze.new_files(spark, land)).count() == 0
+    # such files go through the whole ingest
+    table, ckpt = scratch("b0"), scratch("c0")
+    assert bronze_stream.ingest(spark, land, table, ckpt, max_files=1) == 2
+    assert [r.region for r in spark.read.parquet(table).collect()] == ["SE", "SE"]
     swapped = list(K.SOURCE_HEADER)
     swapped[0], swapped[1] = swapped[1], swapped[0]
     write(land, "bad.csv", [";".join(swapped), ROW])
-    bad = bronze.check_layout(spark, land).collect()
+    bad = bronze.check_layout(bronze.new_files(spark, land)).collect()
     assert len(bad) == 1 and bad[0].path.endswith("bad.csv") and bad[0].positions == [0, 1]
     with pytest.raises(ValueError, match="layout differs"):
         bronze_stream.ingest(spark, land, scratch("b"), scratch("c"))
-    # files already in the bronze table are not checked again
-    known = spark.createDataFrame([("file:" + land + "/bad.csv",)], "source_file string")
-    assert bronze.check_layout(spark, land, known=known).count() == 0
+    # files in the ledger are not checked again; the ledger is kept by the ingest
+    known = spark.createDataFrame([("file:" + land + "/bad.csv",)], "path string")
+    assert bronze.check_layout(bronze.new_files(spark, land, known)).count() == 0
+    assert bronze.new_files(spark, land, spark.read.parquet(ckpt + "-files")).count() == 1
+    write(land, "endless.csv", ["x" * (2 << 20)])
+    assert {b.path.rsplit("/", 1)[1] for b in bronze.check_layout(bronze.new_files(spark, land)).collect()} == {"bad.csv", "endless.csv"}
 
 
 def test_malformed_rows_and_blank_lines(spark, scratch):
@@ -68,6 +77,10 @@ def test_malformed_rows_and_blank_lines(spark, scratch):
     assert prof.row_count == 4            # the empty line is skipped
     assert prof.malformed_rows == 2       # short and over-long rows
     assert prof.blank_rows == 1           # the ';;' row is a blank row
+    table = scratch("bronze")
+    bronze_stream.ingest(spark, land, table, scratch("ckpt"))
+    streamed = spark.read.parquet(table)
+    assert {r[0] for r in streamed.select(bronze.MALFORMED).dropna().collect()} == {short, long_}
     b = bronze.read_batch(spark, land)
     assert b.where(F.coalesce(*[F.col(c) for c in K.BRONZE_COLUMNS]).isNull()).count() == 1
 
@@ -125,6 +138,22 @@ def test_landing_refuses_archive_without_csv(spark, scratch):
         landing.extract(spark, arch, scratch("land")).collect()
 
 
+def test_truncated_target_is_written_again(spark, scratch):
+    arch, land = scratch("arch"), scratch("land")
+    os.makedirs(arch)
+    body = ("\n".join([HEADER] + [ROW] * 50)).encode()
+    with zipfile.ZipFile(os.path.join(arch, "ca-2024-01.zip"), "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("ca.csv", body)
+    first = landing.extract(spark, arch, land).first()
+    target = os.path.join(land, first.csv_name)
+    assert (first.csv_bytes, first.csv_lines) == (len(body), 51)
+    with open(target, "wb") as f:
+        f.write(body[:5])
+    again = landing.extract(spark, arch, land).first()
+    assert again == first and os.path.getsize(target) == len(body)
+    assert [x for x in os.listdir(land) if x.endswith(".part")] == []
+
+
 def test_tables_replace_compact_cluster(spark, scratch):
     root = scratch("tables")
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("g"))
@@ -133,7 +162,8 @@ def test_tables_replace_compact_cluster(spark, scratch):
     small = tables.compact(spark, src, root, "t")
     assert tables.layout_stats(spark, small).first().num_files == 1
     assert src != small and spark.read.parquet(src).count() == 1000
-    cl = tables.cluster(spark, src, ["g"], root, "t", n_files=3)
+    third = tables.layout_stats(spark, src).first().size_bytes // 3 + 1
+    cl = tables.cluster(spark, src, ["g"], root, "t", target_bytes=third)
     ranges = tables.file_ranges(spark, cl, "g").orderBy("lo").collect()
     assert sum(r.rows for r in ranges) == 1000
     assert all(a.hi <= b.lo for a, b in zip(ranges, ranges[1:]))
