@@ -12,11 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricegrid import constants as K
-from pricegrid.operators import checks, clean, dedup, dims, facts, labels, rollup, scd2
+from pricegrid.operators import checks, clean, dedup, dims, facts, gold, labels, rollup, scd2
+from pricegrid.session import cut_lineage
 from pricegrid.sources import landing as landing_src
 from pricegrid.sources import tables
 from pricegrid.streaming import bronze_stream
@@ -59,28 +61,32 @@ def run(spark: SparkSession, landing: str, out_root: str, aliases: DataFrame | N
     b.paths["price_raw"] = bronze_path
     bronze = spark.read.parquet(bronze_path)
 
-    # silver: typed rows and rejects from one converted plan
-    conv = clean.convert(clean.drop_blank(bronze))
-    silver = b.write("price_clean", clean.accepted(conv).withColumn(
-        "ingested_at", F.current_timestamp()))
-    rejects = b.write("silver_rejects", clean.rejects(conv, with_clock=True))
+    # silver: rows are converted and judged once; typed rows and rejects read that
+    judged = cut_lineage(clean.classify(clean.drop_blank(bronze)), "judged")
+    silver = b.write("price_clean", clean.accepted(judged, carry=["ingested_at"]))
+    rejects = b.write("silver_rejects", clean.rejects(judged, with_clock=True))
     conflicts = b.write("silver_key_conflicts",
                         dedup.key_conflicts(silver, K.OBSERVATION_KEY, "sale_price"))
-    b.write("row_balance", checks.reconcile(bronze=bronze, rejects=rejects, clean=silver)
-            .select("*", (F.col("clean") - conflicts.agg(
-                F.coalesce(F.sum("occurrences") - F.count(F.lit(1)), F.lit(0))).scalar())
-                .alias("expected_after_dedup")))
+    balance = b.write("row_balance", checks.reconcile(
+        bronze=bronze, blank=clean.blank_rows(bronze), rejects=rejects, clean=silver)
+        .select("*", (F.col("clean") - conflicts.agg(
+            F.coalesce(F.sum("occurrences") - F.count(F.lit(1)), F.lit(0))).scalar())
+            .alias("expected_after_dedup"))).first()
+    if balance.bronze != balance.blank + balance.rejects + balance.clean:
+        raise checks.CheckFailed(f"row balance: {balance}")
 
     # alias map: refused when chained or pointing at a label absent from the data
     alias = b.write("brand_alias", labels.validate(aliases, silver))
     b.write("dim_brand", labels.brand_dim(silver, alias))
 
     # dedup: lowest price, then name, then file, then the rest of the row (total order)
-    data_cols = [c for c in silver.columns if c != "ingested_at"]
     obs = b.write("price_observation",
                   dedup.keep_first(silver, K.OBSERVATION_KEY, K.DEDUP_ORDER))
-    b.write("dedup_discarded", dedup.discarded(silver.select(data_cols), obs.select(data_cols))
-            .withColumn("discarded_at", F.current_timestamp()))
+    gone = b.write("dedup_discarded", dedup.discarded(silver, obs, K.OBSERVATION_KEY)
+                   .withColumn("discarded_at", F.current_timestamp()))
+    dd = b.write("dedup_balance", checks.reconcile(before=silver, after=obs, discarded=gone)).first()
+    if dd.before != dd.after + dd.discarded or dd.after != balance.expected_after_dedup:
+        raise checks.CheckFailed(f"dedup balance: {dd}, expected {balance.expected_after_dedup}")
 
     # station versions
     canon = scd2.canonicalise(obs, alias)
@@ -91,6 +97,7 @@ def run(spark: SparkSession, landing: str, out_root: str, aliases: DataFrame | N
     checks.require_zero(scd2.check_contiguous(dim), "contiguous validity")
     checks.require_zero(scd2.check_coverage(obs, dim), "one version per observation")
     checks.require_unique(dim, ["station_key"], "dim_station")
+    b.write("label_switches", scd2.label_switches(dim))
 
     # conformed dimensions
     cal = b.write("dim_date", dims.calendar(obs))
@@ -113,16 +120,15 @@ def run(spark: SparkSession, landing: str, out_root: str, aliases: DataFrame | N
     r = rollup.reconcile(fact, weekly).first()
     if r.fact_rows != r.rollup_observations:
         raise checks.CheckFailed(f"rollup sum {r.rollup_observations} != fact {r.fact_rows}")
+    b.write("edge_coverage", rollup.edge_coverage(weekly))
+    b.write("parity_by_state", gold.parity(weekly, city, product))
     return b.paths
 
 
 def land(spark: SparkSession, archive_dir: str, landing: str, audit_path: str) -> DataFrame:
     """L1: extract every archive into the landing folder and append the new
     files to the audit table (files already audited are skipped)."""
-    try:
-        audit = spark.read.parquet(audit_path)
-    except Exception:  # noqa: BLE001 - first run: no audit table yet
-        audit = None
+    audit = tables.read_or_none(spark, audit_path)
     manifest = landing_src.extract(spark, archive_dir, landing)
     return landing_src.append_audit(manifest, audit_path, audit)
 
@@ -150,14 +156,14 @@ COLUMN_NOTES = [
 
 
 def describe(spark: SparkSession, paths: dict[str, str], schema: str = "pricegrid") -> list:
-    """L26: register the written versions as tables of ``schema`` and comment
+    """L26: point the tables of ``schema`` at the written versions and comment
     them. A failing item is reported, not fatal; returns the failures."""
     tables.setup(spark, {schema: "Survey price model built by pricegrid."})
     errors = []
     for name, path in paths.items():
         try:
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.{name} USING parquet LOCATION '{path}'")
-        except Exception as e:  # noqa: BLE001
+            tables.register(spark, f"{schema}.{name}", path)
+        except AnalysisException as e:
             errors.append((name, f"{type(e).__name__}: {str(e)[:150]}"))
     notes = {f"{schema}.{k}": v for k, v in TABLE_NOTES.items() if k in paths}
     cols = [(f"{schema}.{t}", c, v) for t, c, v in COLUMN_NOTES if t in paths]

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pricegrid.operators import scd2
+from pricegrid.operators import clean, scd2
 from pricegrid.plans import medallion
 from pricegrid.plans.model import SurveyModel
 from pricegrid.sources import bronze
@@ -36,9 +36,22 @@ def test_full_build_from_csv(spark, scratch):
                           bronze_checkpoint=paths["price_raw"].rsplit("/bronze/", 1)[0]
                           + "/_checkpoints/price_raw")
     assert spark.read.parquet(again["price_raw"]).count() == bal.bronze
+    # exact columns and clock of the clean tables
+    assert set(read["price_clean"].columns) == {*clean.SILVER_COLUMNS, "ingested_at"}
+    assert set(read["dedup_discarded"].columns) == {*clean.SILVER_COLUMNS, "ingested_at", "discarded_at"}
+    raw = read["price_raw"].agg(F.min("ingested_at"), F.max("ingested_at")).first()
+    assert read["price_clean"].agg(F.min("ingested_at"), F.max("ingested_at")).first() == raw
+    # checks and analyses are written
+    assert {"label_switches", "edge_coverage", "parity_by_state", "dedup_balance"} <= set(paths)
     # governance: tables registered and commented, nothing failed
     assert medallion.describe(spark, paths, "pg_build") == []
     row = spark.sql("DESCRIBE TABLE EXTENDED pg_build.weekly_price").where(
         "col_name = 'Comment'").first()
     assert row is not None and "exact percentiles" in row.data_type
     assert spark.table("pg_build.fct_price_observation").count() == obs
+    # a later version is what the catalog serves
+    fewer = read["fct_price_observation"].limit(3)
+    path = scratch("fewer")
+    fewer.write.parquet(path)
+    assert medallion.describe(spark, paths | {"fct_price_observation": path}, "pg_build") == []
+    assert spark.table("pg_build.fct_price_observation").count() == 3
