@@ -33,7 +33,7 @@ def test_query_matches_oracle(spark, duck, name):
     rows = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
     if sql is None:
-        assert len(rows) >= 0
+        assert rows, "no SQL twin: at least rows, its own test compares them"
         return
     rel = duck.sql(sql)
     cols = rel.columns
