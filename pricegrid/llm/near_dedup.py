@@ -12,11 +12,18 @@ of similarity 0.8 meets in none with probability 0.263**14, below 1e-8.
 Links are always confirmed on the full sets. Equal sets are one class from the
 start, so copies are never expanded. Within a key the pairs are not enumerated:
 
-1. each class is compared with the smallest class it meets most often, then with
-   another one of a bucket that still spans several components;
-2. for buckets that still span components, classes of different components are
-   compared signature by signature in blocks of ``BLOCK_ROWS``, and pairs that could
-   be links (``MAX_APART`` or less apart) are confirmed.
+1. each class is compared with the smallest class that it meets most often;
+2. in buckets that still span components, each class is compared with the nearest
+   one of another component, by a finer signature (``QUICK`` of ``FINE`` MinHash values
+   of one bit, made for these classes alone), for ``ROUNDS`` rounds or until one links
+   none;
+3. in buckets that span components even then, all pairs of different components are
+   looked at in blocks of ``BLOCK_ROWS``, and those that could be links are
+   confirmed: all but those whose ``FINE`` bits lie ``SIGMAS`` standard deviations
+   further apart than the least similarity leaves (fewer than one linked pair in
+   10**6 does, and it must be the only link between two components). Of buckets with the same
+   members one is compared, and a pair is taken in the lowest key it shares, so each
+   pair comes out once.
 
 Whatever is left unconfirmed lies inside one component or is too far apart, so
 components equal those of the full graph.
@@ -42,8 +49,9 @@ from pricegrid.llm.graph import components
 from pricegrid.session import cut_lineage
 
 CHUNKS, WIDTH = 14, 5
-MAX_APART = 34
-BLOCK_ROWS = 2048
+FINE, QUICK, SIGMAS = 4096, 1024, 5
+BLOCK_ROWS = 8192
+ROUNDS = 6
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -84,6 +92,21 @@ def signature(s: np.ndarray) -> np.ndarray:
     return (lowest * np.uint32(0x9E3779B1) >> np.uint32(16)).astype(np.uint16)
 
 
+def _fine(batches: Batches) -> Batches:
+    """(cid, set) to (cid, bits): FINE MinHash values of one bit."""
+    rng = np.random.default_rng(99)
+    multiply, add = (rng.integers(0, 1 << 32, FINE, dtype=np.uint32) for _ in range(2))
+    multiply |= np.uint32(1)
+    for batch in batches:
+        bits = []
+        for s in batch.column(1):
+            x = (np.frombuffer(s.as_buffer(), np.uint64) >> np.uint64(32)).astype(np.uint32)[:, None]
+            lowest = np.min([(x[i:i + 256] * multiply + add).min(axis=0) for i in range(0, len(x), 256)], axis=0)
+            bits.append(np.packbits(lowest * np.uint32(0x9E3779B1) >> np.uint32(31)).tobytes())
+        if bits:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], ["cid", "bits"])
+
+
 def _signatures(n: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         for whole in batches:
@@ -101,22 +124,28 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), CHUNKS * WIDTH)
 
 
+def _key_matrix(sig: np.ndarray) -> np.ndarray:
+    """All keys of signatures (n, CHUNKS * WIDTH): each chunk with each one value left out."""
+    sig = sig.reshape(-1, CHUNKS, WIDTH).astype(np.uint64)
+    keys = np.empty(sig.shape, np.uint64)
+    for left_out in range(WIDTH):
+        packed = np.zeros((len(sig), CHUNKS), np.uint64)
+        for k in range(WIDTH):
+            if k != left_out:
+                packed = packed << np.uint64(16) | sig[:, :, k]
+        place = np.arange(CHUNKS, dtype=np.uint64) * np.uint64(WIDTH) + np.uint64(left_out + 1)
+        keys[:, :, left_out] = W.mix(W.mix(packed) + place)
+    return keys.reshape(len(sig), -1).view(np.int64)
+
+
 def _keys(batches: Batches) -> Batches:
-    """(cid, sig) to (key, cid): each chunk with each one value left out."""
+    """(cid, sig) to (key, cid)."""
     for whole in batches:
         for start in range(0, whole.num_rows, 2000):
             batch = whole.slice(start, 2000)
-            sig = _matrix(batch.column(1)).reshape(-1, CHUNKS, WIDTH).astype(np.uint64)
-            keys = np.empty((len(sig), CHUNKS, WIDTH), np.uint64)
-            for left_out in range(WIDTH):
-                packed = np.zeros((len(sig), CHUNKS), np.uint64)
-                for k in range(WIDTH):
-                    if k != left_out:
-                        packed = packed << np.uint64(16) | sig[:, :, k]
-                place = np.arange(CHUNKS, dtype=np.uint64) * np.uint64(WIDTH) + np.uint64(left_out + 1)
-                keys[:, :, left_out] = W.mix(W.mix(packed) + place)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)),
-                                              pa.array(np.repeat(batch.column(0).to_numpy(), CHUNKS * WIDTH))], ["key", "cid"])
+            keys = _key_matrix(_matrix(batch.column(1)))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)),
+                                              pa.array(np.repeat(batch.column(0).to_numpy(), keys.shape[1]))], ["key", "cid"])
 
 
 def _sets(n: int) -> Callable[[Batches], Batches]:
@@ -146,38 +175,65 @@ def _linked(percent: int) -> Callable[[Batches], Batches]:
     return run
 
 
-def _apart(batches: Batches) -> Batches:
-    """Rows (block key, left, cid, comp, sig) sorted by block key to pairs (u, v)
-    of one block that lie in different components, MAX_APART or less apart.
-    ``left`` marks the side: 0 and 1 are compared across, 2 among themselves."""
-    held: list[pa.RecordBatch] = []
-
-    def pairs(rows: pa.RecordBatch) -> pa.RecordBatch:
-        side, cid, comp = (rows.column(i).to_numpy() for i in (1, 2, 3))
-        sig, us, vs = _matrix(rows.column(4)), [], []
-        for i in range(len(cid)):
-            rest = slice(i + 1, None)
-            ok = (comp[rest] != comp[i]) & (cid[rest] != cid[i]) & ((side[rest] != side[i]) | (side[i] == 2))
-            j = np.flatnonzero(ok) + i + 1
-            j = j[(sig[j] != sig[i]).sum(axis=1) <= MAX_APART]
-            us.append(np.maximum(cid[j], cid[i]))
-            vs.append(np.minimum(cid[j], cid[i]))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
-
-    last = None
-    for batch in batches:
-        keys = batch.column(0).to_numpy()
-        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1), len(keys)]
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            if a == b:
-                continue
-            if held and keys[a] != last:
-                yield pairs(pa.concat_batches(held))
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = keys[a]
-    if held:
-        yield pairs(pa.concat_batches(held))
+def _blocks(compare: Callable[[pa.RecordBatch, int], pa.RecordBatch | None], percent: int) -> Callable[[Batches], Batches]:
+    """Rows sorted by block (first column) to compare's result of each block."""
+    def run(batches: Batches) -> Batches:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            blocks = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1), len(blocks)]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if a == b:
+                    continue
+                if held and blocks[a] != last:
+                    if found := compare(pa.concat_batches(held), percent):
+                        yield found
+                    held = []
+                held.append(batch.slice(a, b - a))
+                last = blocks[a]
+        if held and (found := compare(pa.concat_batches(held), percent)):
+            yield found
+    return run
+
+
+def _most_apart(bits: int, percent: int) -> float:
+    """Bits apart that a pair of similarity ``percent`` doesn't exceed: SIGMAS above the mean."""
+    p = (100 - percent) / 200
+    return bits * p + SIGMAS * (bits * p * (1 - p)) ** 0.5
+
+
+def _others(rows: pa.RecordBatch, percent: int):
+    """For each row of a block its index, the rows of other components that it may be
+    compared with, and their bits apart. Sides 0 and 1 are compared across, 2 among
+    themselves. Rows: block, key, side, cid, comp, bits."""
+    side, cid, comp = (rows.column(i).to_numpy() for i in (2, 3, 4))
+    bits = np.frombuffer(b"".join(rows.column(5).to_pylist()), np.uint64).reshape(len(cid), -1)
+    most = _most_apart(64 * bits.shape[1], percent)
+    for i in range(len(cid)):
+        j = np.flatnonzero((comp != comp[i]) & ((side != side[i]) | (side[i] == 2)))
+        apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        near = apart <= most
+        yield i, j[near], apart[near]
+
+
+def _nearest(rows: pa.RecordBatch, percent: int) -> pa.RecordBatch | None:
+    """(u, v, apart): each row's nearest of another component."""
+    cid = rows.column(3).to_numpy()
+    best = [(cid[i], cid[j[k]], apart[k]) for i, j, apart in _others(rows, percent) if len(j) for k in [np.lexsort((cid[j], apart))[0]]]
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*best)], ["u", "v", "apart"]) if best else None
+
+
+def _apart(rows: pa.RecordBatch, percent: int) -> pa.RecordBatch | None:
+    """(u, v): pairs of different components that share no key below the block's."""
+    key, cid = rows.column(1)[0].as_py(), rows.column(3).to_numpy()
+    keys, us, vs = _key_matrix(_matrix(rows.column(6))), [], []
+    for i, j, _ in _others(rows, percent):
+        j = j[j > i]
+        j = j[~((keys[j] == keys[i]) & (keys[i] < key)).any(axis=1)]
+        us.append(np.maximum(cid[j], cid[i]))
+        vs.append(np.minimum(cid[j], cid[i]))
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -189,17 +245,25 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _spanning(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """(key, cid, comp) of the buckets that hold more than one component."""
+    """(key, cid, comp, low, size) of the buckets that hold more than one component;
+    of buckets with the same members (128 bits of their ids) the lowest key stands for all."""
     placed = members.select("key", "cid").join(comps.withColumnRenamed("id", "cid"), "cid", "left")
     placed = placed.select("key", "cid", F.coalesce("comp", "cid").alias("comp"))
-    open_ = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("size")).where("low < high")
-    return placed.join(open_.select("key", "low", "size"), "key")
+    same = [F.bit_xor(F.xxhash64("cid", F.lit(i))).alias(f"same{i}") for i in range(2)]
+    open_ = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("size"), *same).where("low < high")
+    open_ = open_.groupBy("low", "size", "same0", "same1").agg(F.min("key").alias("key"))
+    return cut_lineage(placed.join(open_.select("key", "low", "size"), "key"), "spanning")
+
+
+def _met(candidates: DataFrame) -> DataFrame:
+    """Distinct pairs (u, v) and how often they meet."""
+    return candidates.groupBy("u", "v").agg(F.count(F.lit(1)).alias("met"))
 
 
-def _best(candidates: DataFrame) -> DataFrame:
-    """Of each u's candidates (u, v), the one it meets most often."""
-    met = candidates.groupBy("u", "v").agg(F.count(F.lit(1)).alias("met"))
-    return met.groupBy("u").agg(F.max(F.struct("met", (-F.col("v")).alias("low"))).alias("top")).select("u", (-F.col("top.low")).alias("v"))
+def _best(met: DataFrame) -> DataFrame:
+    """Of each u's candidates, the one it meets most often."""
+    top = met.groupBy("u").agg(F.max(F.struct("met", (-F.col("v")).alias("low"))).alias("top"))
+    return top.select("u", (-F.col("top.low")).alias("v"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 2, percent: int = 80) -> DataFrame:
@@ -220,17 +284,23 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sets = cut_lineage(rows.join(met, "row").select("cid", "mark", "_text").mapInArrow(_sets(words), "cid long, set binary")
                        .dropDuplicates(["cid"]), "sets")
 
-    links = _confirm(_best(members.where("cid > lead").select(F.col("cid").alias("u"), F.col("lead").alias("v"))), sets, percent)
-    spanning = _spanning(members, components(links.where("linked")))
-    # another leader: of each open bucket the first of its lowest component
-    lead = spanning.where("comp = low").groupBy("key").agg(F.min("cid").alias("lead"))
-    again = spanning.where("comp <> low").join(lead, "key").select(F.greatest("cid", "lead").alias("u"), F.least("cid", "lead").alias("v"))
-    again = again.join(links.select("u", "v"), ["u", "v"], "left_anti")
-    links = links.unionByName(_confirm(_best(again), sets, percent))
-
+    first = members.where("cid > lead").select(F.col("cid").alias("u"), F.col("lead").alias("v"))
+    links = _confirm(_best(_met(first)), sets, percent)
     spanning = _spanning(members, components(links.where("linked")))
-    cross = _cross_pairs(spanning, classes).join(links.select("u", "v"), ["u", "v"], "left_anti")
-    links = links.unionByName(_confirm(cross, sets, percent))
+    fine = sets.join(spanning.select("cid").distinct(), "cid").mapInArrow(_fine, "cid long, bits binary")
+    fine = cut_lineage(fine.join(classes.select("cid", "sig"), "cid"), "fine")
+    quick = fine.withColumn("bits", F.substring("bits", 1, QUICK // 8))
+    for _ in range(ROUNDS):
+        near = (_dealt(spanning, quick).drop("sig").mapInArrow(_blocks(_nearest, percent), "u long, v long, apart long")
+                .groupBy("u").agg(F.min(F.struct("apart", "v")).alias("top")).select("u", F.col("top.v").alias("v")))
+        near = near.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+        found = _confirm(near.join(links.select("u", "v"), ["u", "v"], "left_anti"), sets, percent)
+        links = links.unionByName(found)
+        if found.where("linked").isEmpty():
+            break
+        spanning = _spanning(members, components(links.where("linked")))
+    cross = _dealt(spanning, fine).mapInArrow(_blocks(_apart, percent), "u long, v long").distinct()
+    links = links.unionByName(_confirm(cross.join(links.select("u", "v"), ["u", "v"], "left_anti"), sets, percent))
 
     comps = components(links.where("linked")).withColumnRenamed("id", "cid")
     of_class = (classes.select("cid", "mark", "first_id").join(comps, "cid", "left")
@@ -243,20 +313,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return found.unionByName(alone).withColumn("kept", same)
 
 
-def _cross_pairs(spanning: DataFrame, classes: DataFrame) -> DataFrame:
-    """Distinct pairs (u, v) that share an open bucket, lie in different
-    components and are MAX_APART or less apart. A bucket of more than
-    BLOCK_ROWS rows is compared block against block."""
+def _dealt(spanning: DataFrame, fine: DataFrame) -> DataFrame:
+    """(block, key, side, cid, comp, bits, sig) of the open buckets, dealt and sorted
+    by block. A bucket of more than BLOCK_ROWS rows is dealt block against block."""
     blocks = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
     mine = F.pmod(F.xxhash64("cid"), blocks).cast("int")
     rows = (spanning.select("key", "cid", "comp", blocks.alias("blocks"), mine.alias("mine"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .join(classes.select("cid", "sig"), "cid"))
+            .join(fine, "cid"))
     low, high = F.least("mine", "other"), F.greatest("mine", "other")
     side = F.when(low == high, 2).when(F.col("mine") == low, 0).otherwise(1)
-    dealt = rows.select(F.xxhash64("key", low, high).alias("block"), side.alias("side"), "cid", "comp", "sig")
-    return (dealt.repartition("block").sortWithinPartitions("block")
-            .mapInArrow(_apart, "u long, v long").distinct())
+    dealt = rows.select(F.xxhash64("key", low, high).alias("block"), "key", side.alias("side"), "cid", "comp", "bits", "sig")
+    return dealt.repartition("block").sortWithinPartitions("block", "key")
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 2, percent: int = 80) -> DataFrame:
