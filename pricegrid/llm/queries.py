@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricegrid.llm import ann, bpe, exact_dedup, near_dedup, packing, quality, secrets, sharding, url_trust, warc
+from pricegrid.llm.words import small_batches
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -6,6 +6,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.sql import SparkSession
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most ``rows`` rows in this session: whole texts of Spark's
+    default 10,000 rows, held by the JVM and Python, would fill a small executor."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
 def split(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
@@ -39,7 +46,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def slices(batch: pa.RecordBatch, column: int, limit: int = 8 << 20):
+def slices(batch: pa.RecordBatch, column: int, limit: int = 2 << 20):
     """The batch in zero-copy slices of about ``limit`` bytes of text, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
