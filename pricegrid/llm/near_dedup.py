@@ -16,7 +16,7 @@ start, so copies are never expanded. Within a key the pairs are not enumerated:
 2. in buckets that still span components, each class is compared with the nearest
    one of another component, by a finer signature (``QUICK`` of ``FINE`` MinHash values
    of one bit, made for these classes alone), for ``ROUNDS`` rounds or until one links
-   none;
+   under a hundredth;
 3. in buckets that span components even then, all pairs of different components are
    looked at in blocks of ``BLOCK_ROWS``, and those that could be links are
    confirmed: all but those whose ``FINE`` bits lie ``SIGMAS`` standard deviations
@@ -287,7 +287,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     first = members.where("cid > lead").select(F.col("cid").alias("u"), F.col("lead").alias("v"))
     links = _confirm(_best(_met(first)), sets, percent)
     spanning = _spanning(members, components(links.where("linked")))
-    fine = sets.join(spanning.select("cid").distinct(), "cid").mapInArrow(_fine, "cid long, bits binary")
+    sets = cut_lineage(sets.join(spanning.select("cid").distinct(), "cid"), "sets")  # all that is still open
+    fine = sets.mapInArrow(_fine, "cid long, bits binary")
     fine = cut_lineage(fine.join(classes.select("cid", "sig"), "cid"), "fine")
     quick = fine.withColumn("bits", F.substring("bits", 1, QUICK // 8))
     for _ in range(ROUNDS):
@@ -296,9 +297,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         near = near.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         found = _confirm(near.join(links.select("u", "v"), ["u", "v"], "left_anti"), sets, percent)
         links = links.unionByName(found)
-        if found.where("linked").isEmpty():
+        new, tried = found.agg(F.count_if("linked"), F.count(F.lit(1))).first()
+        if not new:
             break
         spanning = _spanning(members, components(links.where("linked")))
+        if new * 100 < tried:  # the next round would link next to none
+            break
     cross = _dealt(spanning, fine).mapInArrow(_blocks(_apart, percent), "u long, v long").distinct()
     links = links.unionByName(_confirm(cross.join(links.select("u", "v"), ["u", "v"], "left_anti"), sets, percent))
 
