@@ -30,9 +30,9 @@ components equal those of the full graph.
 
 Edge cases: null, empty and blank texts have no shingle and are linked with
 nothing; fewer words than a shingle needs make one shingle of the whole sequence;
-rows that repeat a doc_id are separate documents; a null doc_id never names a
-component unless nothing else is in it; extra columns are ignored; an empty
-table gives an empty result.
+rows that repeat a doc_id are separate documents, and one row of each component is
+kept, whatever its ids; a null doc_id never names a component unless nothing else
+is in it; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricegrid.llm import words as W
@@ -113,10 +113,10 @@ def _signatures(n: int) -> Callable[[Batches], Batches]:
             for batch in W.slices(whole, 2):
                 sets = shingle_sets(batch.column(2), n)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
+                    [batch.column(0), batch.column(1), batch.column(3), batch.column(4), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([_fingerprint(s) if len(s) else None for s in sets], pa.binary()),
                      pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary())],
-                    ["doc_id", "row", "n_shingles", "mark", "sig"])
+                    ["doc_id", "row", "rid", "sha", "n_shingles", "mark", "sig"])
     return run
 
 
@@ -268,13 +268,21 @@ def _best(met: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 2, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links) and
-    kept, one row per input row. ``words`` per shingle; linked from ``percent``
-    of intersection over union up."""
+    kept (one row of each component), one row per input row. ``words`` per shingle;
+    linked from ``percent`` of intersection over union up."""
+    return _grouped(docs, doc_id, text, words, percent, F.lit(None).cast("binary")).drop("sha")
+
+
+def _grouped(docs: DataFrame, doc_id: str, text: str, words: int, percent: int, sha: Column) -> DataFrame:
+    """doc_id, sha (as given), n_shingles, component_id and kept, one row per input row."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                        F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)).alias("row"), F.col(text).cast("string").alias("_text"))
-    seen = cut_lineage(rows.mapInArrow(_signatures(words), "doc_id long, row long, n_shingles long, mark binary, sig binary"), "signatures")
+    seen = rows.select("*", F.monotonically_increasing_id().alias("rid"), sha.alias("sha"))
+    seen = cut_lineage(seen.mapInArrow(_signatures(words), "doc_id long, row long, rid long, sha binary, n_shingles long, mark binary, sig binary"),
+                       "signatures")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")).alias("first")
     classes = cut_lineage(seen.where("mark is not null").groupBy("mark")
-                          .agg(F.min("doc_id").alias("first_id"), F.min("row").alias("row"), F.any_value("sig").alias("sig"))
+                          .agg(first, F.min("row").alias("row"), F.any_value("sig").alias("sig"))
                           .select(F.monotonically_increasing_id().alias("cid"), "*"), "classes")
 
     keys = classes.select("cid", "sig").mapInArrow(_keys, "key long, cid long")
@@ -307,14 +315,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links = links.unionByName(_confirm(cross.join(links.select("u", "v"), ["u", "v"], "left_anti"), sets, percent))
 
     comps = components(links.where("linked")).withColumnRenamed("id", "cid")
-    of_class = (classes.select("cid", "mark", "first_id").join(comps, "cid", "left")
-                .select("mark", "first_id", F.coalesce("comp", "cid").alias("comp")))
-    first = of_class.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    named = cut_lineage(of_class.join(first, "comp").select("mark", "component_id"), "components")
-    found = seen.where("mark is not null").select("doc_id", "n_shingles", "mark").join(named, "mark").drop("mark")
-    alone = seen.where("mark is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    same = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    return found.unionByName(alone).withColumn("kept", same)
+    of_class = (classes.select("cid", "mark", "first").join(comps, "cid", "left")
+                .select("mark", "first", F.coalesce("comp", "cid").alias("comp")))
+    first = of_class.groupBy("comp").agg(F.min("first").alias("first"))
+    named = cut_lineage(of_class.select("mark", "comp").join(first, "comp")
+                        .select("mark", F.col("first.doc_id").alias("component_id"), F.col("first.rid").alias("first_rid")), "components")
+    found = (seen.where("mark is not null").select("doc_id", "sha", "n_shingles", "rid", "mark").join(named, "mark")
+             .select("doc_id", "sha", "n_shingles", "component_id", (F.col("rid") == F.col("first_rid")).alias("kept")))
+    alone = seen.where("mark is null").select("doc_id", "sha", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return found.unionByName(alone)
 
 
 def _dealt(spanning: DataFrame, fine: DataFrame) -> DataFrame:
@@ -332,8 +341,18 @@ def _dealt(spanning: DataFrame, fine: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 2, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay, with their own columns: of each component
-    the rows whose doc_id names it."""
-    found = near_duplicates(docs, doc_id, text, words, percent)
-    goes = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(goes, F.col(doc_id).cast("long").eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of ``docs`` that stay, with their own columns: one of each component.
+    Rows are matched by doc_id and text; of rows that repeat both, one stays."""
+    sha = F.unhex(F.sha2("_text", 256))
+    found = _grouped(docs, doc_id, text, words, percent, sha)
+    gone = cut_lineage(found.groupBy("doc_id", "sha").agg(F.bool_and("kept").alias("all"), F.bool_or("kept").alias("_one")).where("not all")
+                       .select(F.col("doc_id").alias("_gone"), F.col("sha").alias("_sha"), "_one"), "gone")
+    same = (F.col(doc_id).cast("long").eqNullSafe(F.col("_gone"))
+            & F.unhex(F.sha2(F.col(text).cast("string"), 256)).eqNullSafe(F.col("_sha")))
+    stay = docs.join(gone, same, "left_anti")
+    repeated = gone.where("_one")
+    if repeated.isEmpty():
+        return stay
+    nth = F.row_number().over(Window.partitionBy("_gone", "_sha").orderBy("_sha"))
+    one = docs.join(repeated, same).withColumn("_nth", nth).where("_nth = 1")
+    return stay.unionByName(one.select(*docs.columns))

@@ -80,6 +80,23 @@ def test_deduplicate(docs, writing):
     assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == [5, 7, 8]
 
 
+def test_deduplicate_keeps_one_row_of_each_component_whatever_its_ids(docs, writing):
+    a, b, c, d, e = (writing(100, 40 + k) for k in range(5))
+    near = lambda t, k: edited(t, 1, k)
+    rows = [(5, a), (None, near(a, 1)), (None, "unique and clean"),  # a null id goes, another one's text stays
+            (7, b), (9, near(b, 2)), (9, "text of its own"),  # the same with a repeated id
+            (11, c), (11, near(c, 3)), (None, d), (None, near(d, 4)),  # near copies under one id
+            (13, e), (13, e), (13, e), (None, None), (None, None)]
+    df = docs(rows)
+    out = X.deduplicate(df)
+    stay = [(r.doc_id, r.text) for r in out.collect()]
+    assert out.columns == df.columns and len(stay) == 9
+    assert all(r in stay for r in [(5, a), (None, "unique and clean"), (7, b), (9, "text of its own"), (13, e)])
+    assert stay.count((13, e)) == 1 and stay.count((None, None)) == 2
+    assert len({(11, c), (11, near(c, 3))} & set(stay)) == len({(None, d), (None, near(d, 4))} & set(stay)) == 1
+    assert X.near_duplicates(df).where("kept").count() == 9
+
+
 def test_equal_texts_have_equal_sets_wherever_they_stand(writing):
     text = pa.array([writing(50, i % 7) for i in range(4000)])
     whole = X.shingle_sets(text)
