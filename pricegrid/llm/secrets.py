@@ -1,8 +1,10 @@
 """Secret scan: fixed patterns plus a battery of randomness tests.
 
 Patterns (kinds ``assign``, ``access``, ``hex``) find the well-known forms. Beyond
-them every run of 16 or more of ``[A-Za-z0-9+/_=-]`` is a candidate. Its encoding is
-the smallest of ``ALPHABETS`` that holds it, and three tests ask whether it could be
+them every run of 16 or more of ``[A-Za-z0-9+/_-]``, with closing ``=``, is a candidate;
+of a run that no alphabet holds (``+`` or ``/`` beside ``-`` or ``_``) it is the parts that
+base64 or base64url hold. Its encoding is the smallest of ``ALPHABETS`` that holds it,
+and three tests ask whether it could be
 random text in that encoding: chi-squared uniformity of the alphabet, the runs test
 about the alphabet's middle, and lag-1 serial correlation. One that any test rejects
 (Bonferroni, level ``REJECT``) is no secret.
@@ -56,7 +58,8 @@ PATTERNS = (
     ("access", re.compile(r"AKIA[A-Z0-9]+"), 16, 0),
     ("hex", re.compile(r"[0-9a-f]{32,}"), 32, 0),  # the runs [0-9a-f]+ that are long enough
 )
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:=++(?![A-Za-z0-9+/_-]))?")
+PARTS = (re.compile(r"[A-Za-z0-9+/]{16,}=*"), re.compile(r"[A-Za-z0-9_-]{16,}=*"))
 
 _LOW, _UP, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 #: Fixed alphabets of encodings, smallest first.
@@ -82,6 +85,15 @@ def encoding(token: str) -> str | None:
     return next((name for name, alphabet in _SETS if used <= alphabet), None)
 
 
+def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of each candidate, by start. Parts of one run can overlap."""
+    for m in CANDIDATE.finditer(text):
+        if any(part.fullmatch(m[0]) for part in PARTS):
+            yield m.span()
+        else:
+            yield from sorted({(m.start() + p.start(), m.start() + p.end()) for part in PARTS for p in part.finditer(m[0])})
+
+
 def _two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 
@@ -141,12 +153,15 @@ class Detector:
             for m in pattern.finditer(text):
                 if m.end(group) - m.start(group) >= least:
                     found.append((m.start(), order, kind, m.end()))
-        base = list(found)
-        for m in CANDIDATE.finditer(text):
-            if any(s <= m.start() and m.end() <= e for s, _, _, e in base):
+        random: list[tuple[int, int]] = []
+        for start, end in candidates(text):
+            if any(s <= start and end <= e for s, _, _, e in found):
                 continue
-            if (e := self.evidence(m[0])) and e[1] >= self.least.get(e[0], MOST_NATS * BINS_PER_NAT + 1):
-                found.append((m.start(), len(PATTERNS), "random", m.end()))
+            if (e := self.evidence(text[start:end])) and e[1] >= self.least.get(e[0], MOST_NATS * BINS_PER_NAT + 1):
+                if random and start < random[-1][1]:  # overlapping parts are one span
+                    start, end = random[-1][0], max(end, random.pop()[1])
+                random.append((start, end))
+        found.extend((start, len(PATTERNS), "random", end) for start, end in random)
         return [(kind, start, end) for start, _, kind, end in sorted(found)]
 
 
@@ -161,7 +176,7 @@ def _candidates(batches: Batches) -> Batches:
             for text in batch.column(0):
                 text = text.as_py()
                 counts += np.bincount(np.frombuffer(text.encode().lower(), np.uint8), minlength=256)
-                tokens.extend(CANDIDATE.findall(text))
+                tokens.extend(text[a:b] for a, b in candidates(text))
             letters = [counts[[ord(c) for c in _COUNTED]].tolist()] + [None] * len(tokens)
             yield pa.RecordBatch.from_arrays([pa.array([None, *tokens], pa.string()), pa.array(letters, pa.list_(pa.int64()))], ["token", "counts"])
 

@@ -47,6 +47,27 @@ def test_base_spans_and_planted_tokens(docs, writing):
     assert all(r.n_assign + r.n_access + r.n_hex + r.n_random == len([s for s in r.spans.split(",") if s]) for r in found)
 
 
+def test_name_value_and_mixed_runs(docs, writing):
+    plain, standard, url = randoms(60, 40, seed=3), randoms(20, 64, ALNUM + "+/", 4), randoms(20, 64, ALNUM + "-_", 5)
+    forms = [f(t) for t, f in zip(plain, [lambda t: f"AWS_SECRET_ACCESS_KEY={t}", lambda t: f"auth={t}", lambda t: f"https://h.org/x?a=1&sig={t}&b=2",
+                                          lambda t: f"=={t}==", lambda t: f"PRIVATE_KEY={t}=", lambda t: f"my-app/conf_d/{t}"] * 10)]
+    forms += [f"signature={t}==" for t in standard] + [f"srv/{t}" for t in url]
+    secrets = plain + standard + url
+    rows = [(i, writing(80, i)) for i in range(120)] + [(200 + k, f"{writing(20, 900 + k)} {t} {writing(10, 950 + k)}") for k, t in enumerate(forms)]
+    df = docs(rows)
+    detector = X.fit(df)
+    texts, caught = dict(rows), {}
+    for r in X.scan(df, detector).where("spans <> ''").collect():
+        caught[r.doc_id] = [texts[r.doc_id][int(a):int(b)] for _, a, b in (s.split(":") for s in r.spans.split(","))]
+    whole = lambda k: any(secrets[k] in c for c in caught.get(200 + k, []))
+    for group in [range(f, 60, 6) for f in range(6)] + [range(60, 80), range(80, 100)]:
+        assert sum(map(whole, group)) >= 0.8 * len(group)
+    assert all(i >= 200 and len(c) == 1 for i, c in caught.items())  # neither writing nor names
+    masked = {r.doc_id: r.text for r in X.redact(df, detector).collect()}
+    assert not any(secrets[k] in masked[200 + k] for k in range(100) if whole(k))
+    assert [(a, b) for a, b in X.candidates("a=" + "b" * 16 + "=" + "c" * 16 + "== x")] == [(2, 18), (19, 37)]
+
+
 def test_battery_tells_random_from_ordered():
     good = [X.battery(t, X.encoding(t)) for t in randoms(300, 40)]
     assert np.mean([min(p) * 3 < X.REJECT for p in good]) < 0.02
