@@ -14,6 +14,9 @@ The tokenized rows are one Parquet table in the shared checkpoint folder (16-bit
 ids where the vocabulary allows), read by the range sampling and the packing; a
 task holds one Arrow batch and one open sequence.
 
+Added tokens of the vocabulary (``special``) are found in the text first, as by
+``tokenizers``; without them such strings are ordinary text.
+
 Edge cases: null or empty text is the end id alone; a very long text runs
 through as many sequences as it needs; repeated rows are packed each; a null
 doc_id is packed like any other; extra columns are ignored; an empty table
@@ -22,6 +25,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -44,9 +48,22 @@ DIMS, BITS = 4, 12
 Batches = Iterator[pa.RecordBatch]
 
 
+Special = tuple[tuple[str, int], ...]
+
+
+def added_tokens(path: str) -> Special:
+    """The added tokens of a ``tokenizers`` file and their ids."""
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    for t in tokens:
+        if any(t[flag] for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"added token {t['content']!r} has a flag that tiktoken can't follow")
+    return tuple((t["content"], t["id"]) for t in tokens)
+
+
 @cache
-def encoding(path: str, pattern: str) -> tiktoken.Encoding:
-    return tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
+def encoding(path: str, pattern: str, special: Special = ()) -> tiktoken.Encoding:
+    return tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens=dict(special))
 
 
 @cache
@@ -90,13 +107,13 @@ def curve_keys(ids: np.ndarray, starts: np.ndarray, vocabulary: int) -> np.ndarr
     return hilbert(np.rint((unit + 1) / 2 * top).astype(np.int64), BITS)
 
 
-def _tokenized(path: str, pattern: str, end_id: int) -> Callable[[Batches], Batches]:
+def _tokenized(path: str, pattern: str, special: Special, end_id: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        enc = encoding(path, pattern)
+        enc = encoding(path, pattern, special)
         kind = "<u2" if enc.n_vocab <= 1 << 16 else "<u4"
         for whole in batches:
             for batch in W.slices(whole, 1):
-                found = [np.append(enc.encode_to_numpy(t.as_py() or ""), end_id).astype(kind) for t in batch.column(1)]
+                found = [np.append(enc.encode_to_numpy(t.as_py() or "", allowed_special="all"), end_id).astype(kind) for t in batch.column(1)]
                 starts = np.concatenate([[0], np.cumsum([len(f) for f in found])])[:-1]
                 keys = curve_keys(np.concatenate(found), starts, enc.n_vocab)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys), pa.array([f.tobytes() for f in found], pa.binary())],
@@ -161,16 +178,16 @@ def _with_crc(batches: Batches) -> Batches:
 
 
 def pack(docs: DataFrame, path: str, pattern: str, end_id: int = END_ID, length: int = LENGTH,
-         doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+         doc_id: str = "doc_id", text: str = "text", special: Special = ()) -> DataFrame:
     """One row per piece: doc_id, start and length in the document's ids, ids
     (little-endian uint32), doc_tokens, sequence_id and offset in the sequence.
-    ``path`` is a rank file, ``pattern`` splits texts."""
+    ``path`` is a rank file, ``pattern`` splits texts, ``special`` are added tokens."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     place = scratch_path(spark, "tokens")
-    (rows.mapInArrow(_tokenized(path, pattern, end_id), "doc_id long, key long, ids binary")
+    (rows.mapInArrow(_tokenized(path, pattern, special, end_id), "doc_id long, key long, ids binary")
      .write.option("compression", "zstd").parquet(place))
-    kind = "<u2" if encoding(path, pattern).n_vocab <= 1 << 16 else "<u4"
+    kind = "<u2" if encoding(path, pattern, special).n_vocab <= 1 << 16 else "<u4"
     order = ["key", F.xxhash64("doc_id")]
     return (spark.read.parquet(place).repartitionByRange(*order).sortWithinPartitions(*order, "doc_id")
             .select("doc_id", "ids")

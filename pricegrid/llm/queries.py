@@ -36,9 +36,9 @@ def op4_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the rank file holds the vocabulary of byte_bpe_50k.json
+    # the rank file holds the vocabulary of byte_bpe_50k.json, but for its added tokens
     return packing.pieces(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
-                          public_tokenizers.PATTERN)
+                          public_tokenizers.PATTERN, special=packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json")))
 
 
 def op6_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:

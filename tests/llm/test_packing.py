@@ -46,6 +46,17 @@ def test_pieces_hold_every_id_once(docs, writing):
     assert set(by_doc) == set(ids)
 
 
+def test_added_tokens_as_the_contract_loads_them(docs):
+    tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x  <|endoftext|>\n\n y<|endoftext|", "<|ENDOFTEXT|> plain", "é <|endoftext|>'s"]
+    special = X.added_tokens(P.path("byte_bpe_50k.json"))
+    found = {r.doc_id: r for r in X.pieces(docs(list(enumerate(texts))).coalesce(1), PATH, P.PATTERN, special=special, length=1 << 20).where("start = 0").collect()}
+    ids = {i: np.array(tokenizer.encode(t, add_special_tokens=False).ids + [0], "<u4") for i, t in enumerate(texts)}
+    assert ids[0].tolist() == [64, 220, 50256, 275, 0]
+    assert all(found[i].doc_tokens == len(ids[i]) for i in ids)
+    assert all(found[i].ids_crc32 == zlib.crc32(ids[i][:found[i].length].tobytes()) for i in ids)
+
+
 def test_repeated_rows_and_empty_table(docs):
     found = X.pieces(docs([(1, "a b")] * 3 + [(None, "x")]), PATH, P.PATTERN)
     assert sorted(r.doc_tokens for r in found.where("start = 0").collect()) == [2, 3, 3, 3]
