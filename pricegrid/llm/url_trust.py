@@ -5,7 +5,9 @@ without a rule is decided by its host: trust starts at hosts in proportion to th
 pages that an allow rule covers and follows links (personalised PageRank); distrust
 starts at hosts with blocked pages and follows links backwards, from a page to those
 that link to it. Both start with a total of 1 and are compared per host: block if
-distrust exceeds trust by more than ``THRESHOLD``.
+distrust exceeds trust by more than ``THRESHOLD``. Scores that differ by less than
+``SAME`` of the larger one are equal, however small the table makes both; the SQL
+twin rounds the difference to 12 decimals instead.
 
 Edges run between hosts and are weighted by the number of pages that link; links
 within a host and relative ones add none. Everything is DataFrame code: links are
@@ -31,6 +33,7 @@ from pricegrid.session import cut_lineage
 
 DAMPING, ROUNDS, CUT = 0.85, 12, 4
 THRESHOLD = 0.0
+SAME = 1e-9
 #: Fixed rules: verdict, host, start of the path.
 RULES = (
     ("allow", "com", "/"),
@@ -112,8 +115,9 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, page_
     share = lambda c, n: (F.col(c) / F.lit(n) if n else F.lit(0.0)).cast("double")
     starts = seeds.select("host", share("allowed", total["a"]).alias("trust0"), share("blocked", total["b"]).alias("distrust0"))
     scores = propagate(starts, edges(pages, url, html))
-    # rounded, so the order of the sums can't turn a verdict
-    bad = scores.select("host", (F.round(F.col("distrust") - F.col("trust"), 12) > threshold).alias("bad"))
+    # relative, so neither the order of the sums nor the size of the table can turn a verdict
+    over = F.col("distrust") - F.col("trust") - threshold
+    bad = scores.select("host", (over > SAME * F.greatest("trust", "distrust")).alias("bad"))
     verdict = F.coalesce("ruled", F.when(F.col("host") == "", F.lit(empty)), F.when(F.col("bad"), "block").otherwise("allow"))
     return judged.join(cut_lineage(bad, "verdicts"), "host", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"))
 

@@ -47,5 +47,15 @@ def test_against_sql(spark):
     assert got == sorted(map(str, want.to_dict("records")))
 
 
+def test_a_small_share_of_distrust_decides_as_a_large_one(spark):
+    """Four steps back from one blocked page of a thousand, each among 400 hosts that link."""
+    link = lambda to: f'<a href="http://{to}/">x</a>'
+    rows = [("http://big.net/es/", None)] * 999 + [("http://b0.net/es/", None)]
+    for step in range(4):
+        rows += [(f"http://{'b' if k == 0 else 'c' + str(k) + 'b'}{step + 1}.net/", link(f"b{step}.net")) for k in range(400)]
+    verdict = {r.host: r.verdict for r in X.judge(pages(spark, rows)).where("rule is null").collect()}
+    assert len(verdict) == 1600 and set(verdict.values()) == {"block"}
+
+
 def test_empty_table(spark):
     assert X.judge(pages(spark, [])).count() == 0
