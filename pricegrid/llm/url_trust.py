@@ -13,8 +13,11 @@ Edges run between hosts and are weighted by the number of pages that link; links
 within a host and relative ones add none. Everything is DataFrame code: links are
 combined to host pairs before the shuffle, a round is one join and one partial sum,
 and every ``CUT`` rounds the scores become a Parquet table in the shared checkpoint
-folder. Mass of hosts without links out is not dealt again, which changes no ratio
-of the scores that a start host passes on.
+folder. Scores only grow from round to round; they are final when no host's grew by
+more than ``TOLERANCE`` of itself, so hosts at any distance count (about 160 rounds
+and one for each link on the longest way); the SQL twin stops after ``ROUNDS`` rounds.
+As in the twin, mass of hosts without links out (for distrust: in) is not dealt again,
+so the two totals fall by different shares before they are compared.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, fits no
 rule and is allowed by the method unless ``empty`` says otherwise; null html has no
@@ -33,7 +36,7 @@ from pricegrid.session import cut_lineage
 
 DAMPING, ROUNDS, CUT = 0.85, 12, 4
 THRESHOLD = 0.0
-SAME = 1e-9
+SAME, TOLERANCE = 1e-9, 1e-11
 #: Fixed rules: verdict, host, start of the path.
 RULES = (
     ("allow", "com", "/"),
@@ -77,7 +80,7 @@ def edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("pages")))
 
 
-def propagate(starts: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(starts: DataFrame, links: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """(host, trust, distrust) from (host, trust0, distrust0), each of total 1, and
     edges (src, dst, pages)."""
     out = links.groupBy("src").agg(F.sum("pages").alias("all_out"))
@@ -90,18 +93,24 @@ def propagate(starts: DataFrame, links: DataFrame, damping: float = DAMPING, rou
         "ways")
     nodes = starts.unionByName(ways.select("host", zero.alias("trust0"), zero.alias("distrust0")))
     nodes = cut_lineage(nodes.groupBy("host").agg(F.sum("trust0").alias("trust0"), F.sum("distrust0").alias("distrust0")), "hosts")
-    at = nodes.select("host", F.col("trust0").alias("trust"), F.col("distrust0").alias("distrust"))
+    start = lambda c: (1 - damping) * F.col(c)
     if ways.isEmpty():
-        return at.select("host", ((1 - damping) * F.col("trust")).alias("trust"), ((1 - damping) * F.col("distrust")).alias("distrust"))
-    for i in range(1, rounds + 1):
-        moved = (at.join(ways, "host").groupBy(F.col("to").alias("host"))
-                 .agg(F.sum(F.col("trust") * F.col("give")).alias("t"), F.sum(F.col("distrust") * F.col("blame")).alias("d")))
-        at = nodes.join(moved, "host", "left").select(
-            "host", ((1 - damping) * F.col("trust0") + damping * F.coalesce("t", zero)).alias("trust"),
-            ((1 - damping) * F.col("distrust0") + damping * F.coalesce("d", zero)).alias("distrust"))
-        if i % CUT == 0:
-            at = cut_lineage(at, "trust")
-    return at
+        return nodes.select("host", start("trust0").alias("trust"), start("distrust0").alias("distrust"))
+    base = nodes.select("*", start("trust0").alias("trust"), start("distrust0").alias("distrust"))
+    while True:
+        at = base
+        for _ in range(CUT):
+            moved = (at.join(ways, "host").groupBy(F.col("to").alias("host"))
+                     .agg(F.sum(F.col("trust") * F.col("give")).alias("t"), F.sum(F.col("distrust") * F.col("blame")).alias("d")))
+            at = base.join(moved, "host", "left").select(
+                "host", "trust0", "distrust0", F.col("trust").alias("trust_was"), F.col("distrust").alias("distrust_was"),
+                (start("trust0") + damping * F.coalesce("t", zero)).alias("trust"),
+                (start("distrust0") + damping * F.coalesce("d", zero)).alias("distrust"))
+        at = cut_lineage(at, "trust")
+        grew = lambda c: F.col(c) - F.col(f"{c}_was") > tolerance * F.col(c)
+        if at.where(grew("trust") | grew("distrust")).isEmpty():
+            return at.select("host", "trust", "distrust")
+        base = at.drop("trust_was", "distrust_was")
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, page_id: str = "page_id", url: str = "url",

@@ -1,4 +1,5 @@
 import duckdb
+import numpy as np
 import pandas as pd
 
 from pricegrid.llm import url_trust as X
@@ -57,5 +58,24 @@ def test_a_small_share_of_distrust_decides_as_a_large_one(spark):
     assert len(verdict) == 1600 and set(verdict.values()) == {"block"}
 
 
+def test_scores_against_a_dense_solve(spark):
+    """A chain of 30 hosts that leads to a blocked one, a ring, and hosts without links in or out."""
+    links = [(k, k + 1, 1) for k in range(30)] + [(31, 32, 2), (32, 33, 1), (33, 31, 1), (33, 34, 3), (35, 31, 1), (35, 5, 1), (20, 36, 1), (32, 30, 1)]
+    n, starts = 37, {35: (0.75, 0.0), 0: (0.25, 0.0), 30: (0.0, 0.5), 34: (0.0, 0.5)}
+    found = {int(r.host): (r.trust, r.distrust) for r in X.propagate(
+        spark.createDataFrame([(str(h), *v) for h, v in starts.items()], "host string, trust0 double, distrust0 double"),
+        spark.createDataFrame([(str(a), str(b), w) for a, b, w in links], "src string, dst string, pages long")).collect()}
+    weights = np.zeros((n, n))
+    for a, b, w in links:
+        weights[a, b] = w
+    for side, w in enumerate((weights, weights.T)):
+        seed = np.array([starts.get(h, (0.0, 0.0))[side] for h in range(n)])
+        moves = np.array([row / (row.sum() or 1) for row in w])
+        want = np.linalg.solve(np.eye(n) - X.DAMPING * moves.T, (1 - X.DAMPING) * seed)
+        got = np.array([found[h][side] for h in range(n)])
+        assert np.allclose(got, want, rtol=1e-9, atol=0)
+    assert found[0][1] > 0  # 30 links from the next blocked host
+
+
 def test_empty_table(spark):
     assert X.judge(pages(spark, [])).count() == 0
