@@ -25,7 +25,8 @@ have neighbours at cosine 0.4; such probes reach most of a table.
 
 Edge cases: vectors that are null, zero, of another length than the sample's most
 common one, or hold null or non-finite components take no part; a query's own row
-is never its neighbour (repeated ids are one row's copies); ties go to the smaller
+is never its neighbour (repeated ids are one row's copies, and a row that repeats id
+and vector counts once, in the table and among the queries); ties go to the smaller
 id; with fewer than ``k`` candidates all are returned; extra columns are ignored; an
 empty table gives an empty result.
 """
@@ -191,9 +192,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vect
     fits = F.size("vector") == len(rotation.mean)
     copies = Window.partitionBy("vector").orderBy("vec_id")
     code = _coded(rotation)
-    index = (rows.where(fits).withColumn("nth", F.row_number().over(copies)).where(F.col("nth") <= k + 1).drop("nth"))
+    once = lambda df: df.where(fits).dropDuplicates(["vec_id", "vector"])
+    index = (once(rows).withColumn("nth", F.row_number().over(copies)).where(F.col("nth") <= k + 1).drop("nth"))
     index = cut_lineage(index.withColumn("code", code("vector")), "codes")
-    asked = cut_lineage(usable(queries, vec_id, vector).where(fits).withColumn("code", code("vector")), "queries")
+    asked = cut_lineage(once(usable(queries, vec_id, vector)).withColumn("code", code("vector")), "queries")
     radius = min(radius, rotation.bits)
     first = cut_lineage(_ranked(_probe(index, asked, rotation, radius, k), k), "nearest")
     short = asked.join(first.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id")), "vec_id", "left_anti")

@@ -71,3 +71,10 @@ def test_few_and_no_candidates(table):
     assert X.nearest(table([(0, [1.0, 0.0])]), table([(0, [1.0, 0.0])])).count() == 0
     empty = table([])
     assert X.nearest(empty, empty).columns == ["query_id", "rank", "vec_id", "score"] and X.nearest(empty, empty).count() == 0
+
+
+def test_a_row_repeated_seven_times_counts_once(table):
+    one = [1.0, 2.0, 3.0, 4.0]
+    df = table([(0, one)] * 7 + [(i, one) for i in range(1, 10)] + [(50, one)] * 2 + vectors(30, 4, 2)[20:])
+    found = got(X.nearest(df, df.where("vec_id % 50 = 0")))
+    assert [j for j, _ in found[0]] == [1, 2, 3, 4, 5] and [j for j, _ in found[50]] == [0, 1, 2, 3, 4]
