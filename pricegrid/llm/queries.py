@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricegrid.llm import ann, bpe, exact_dedup, near_dedup, packing, quality, secrets, sharding, url_trust, warc
+from pricegrid.llm import alignment, ann, bpe, contamination, divergence, exact_dedup, near_dedup, packing, quality, secrets, sharding, url_trust, warc
 from pricegrid.llm.words import small_batches
 
 
@@ -69,6 +69,19 @@ def op10_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("record_id", "uri_key", "state", "source_id", "digest", warc.header_lines(F.col("headers")).alias("headers"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digests(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_read(spark, sf_dir, "documents"))
+
+
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.digests(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -80,6 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op10_revisit_resolution": op10_revisit_resolution,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_benchmark_decontamination": op13_benchmark_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -137,4 +153,52 @@ ORACLE_SQL: dict[str, str] = {
             CASE WHEN agrees THEN array_to_string(list_filter(['cache-control: ' || coalesce(cache, 'max-age=60'), 'content-type: text/html',
                 'date: ' || t::VARCHAR, 'etag: ' || coalesce(sent, of_tag), 'last-modified: ' || of_changed], lambda x: x IS NOT NULL), chr(10)) END AS headers
         FROM checked""",
+    "op12_source_divergence": r"""
+        WITH rows AS (
+            SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS rid,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+        used AS (SELECT lang, source, rid, unnest(terms) AS term FROM rows),
+        vocab AS (SELECT lang, term, count(*) AS n FROM used GROUP BY ALL HAVING count(DISTINCT rid) >= 30),
+        sizes AS (SELECT lang, count(*) AS v, sum(n) AS total FROM vocab GROUP BY lang),
+        groups AS (SELECT DISTINCT lang, source FROM rows),
+        hits AS (SELECT lang, source, term, count(*) AS n FROM used SEMI JOIN vocab USING (lang, term) GROUP BY ALL),
+        cells AS (
+            SELECT g.lang, g.source, k.term, k.n AS in_lang, coalesce(h.n, 0) AS n,
+                sum(coalesce(h.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+            FROM groups g JOIN vocab k USING (lang) LEFT JOIN hits h ON h.lang = g.lang AND h.source = g.source AND h.term = k.term),
+        shares AS (
+            SELECT c.lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (c.total::HUGEINT + 5 * v) AS p,
+                1 + (1000000000::HUGEINT * (in_lang + 5)) // (s.total::HUGEINT + 5 * v) AS q
+            FROM cells c JOIN sizes s USING (lang)),
+        apart AS (
+            SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        found AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0)::BIGINT AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+            UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM shares WHERE n > 0 AND p > q)
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank
+        FROM found QUALIFY part = 'pair' OR rank <= 50""",
+    "op13_benchmark_decontamination": r"""
+        WITH items AS (
+            SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item_id, least(10, len(ws)) AS n, array_to_string(ws[i:i + least(10, len(ws)) - 1], ' ') AS words
+            FROM (SELECT *, unnest(range(1, greatest(2, len(ws) - 8))) AS i FROM items WHERE len(ws) > 0)),
+        docs AS (
+            SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+        grams AS (
+            SELECT rid, n, i, array_to_string(ws[i:i + n - 1], ' ') AS words
+            FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows))),
+        met AS (SELECT rid, i, n, item_id FROM grams JOIN windows USING (n, words)),
+        hits AS (SELECT rid, count(DISTINCT place) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS place FROM met) GROUP BY rid),
+        named AS (SELECT rid, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY encode(item_id::VARCHAR)) AS ids
+            FROM (SELECT DISTINCT rid, item_id FROM met WHERE item_id IS NOT NULL) GROUP BY rid)
+        SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+            sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN hits USING (rid) LEFT JOIN named USING (rid)""",
 }

@@ -29,6 +29,19 @@ def split(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(pa.array(real)).dictionary_encode(), before[offsets]
 
 
+def split_on(texts: pa.Array, separators: str) -> tuple[pa.Array, np.ndarray]:
+    """Parts of all texts, A-Z lower-cased, between runs that match ``separators`` (RE2),
+    dictionary-encoded, and the offsets of each text's parts. Null is empty."""
+    if texts.offset:  # as in split
+        texts = texts.take(pa.array(np.arange(len(texts))))
+    texts = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    parts = pc.split_pattern_regex(texts, separators)
+    flat, offsets = parts.flatten(), parts.offsets.to_numpy().astype(np.int64)
+    real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)  # a text that starts or ends with a separator
+    before = np.concatenate([[0], np.cumsum(real)])
+    return flat.filter(pa.array(real)).dictionary_encode(), before[offsets - offsets[0]]
+
+
 def hashes(words: pa.Array) -> np.ndarray:
     """xxh3 of each distinct word, as uint64."""
     distinct = words.cast(pa.large_binary()).to_pylist()
