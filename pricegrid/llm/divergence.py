@@ -38,7 +38,7 @@ from pricegrid.llm import words as W
 from pricegrid.session import cut_lineage
 
 MIN_DOCS, TOP = 30, 50
-HELD = 1 << 20
+HELD = 1 << 19
 TERMS, SOURCES = 8192, 256
 SEPARATORS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
