@@ -11,12 +11,13 @@ decoded bytes (several tokens inside one multibyte character, byte fallback), th
 decoded bytes refine it. A text whose joined bytes of A or B differ from space+text has
 no tokens.
 
-Texts are encoded in *stretches*: they are cut before each space that follows a
-character that isn't white space and is not the last one. Neither tokenizer joins
-anything across such a place (A's pattern matches no white space after another
-character; no piece of B, checked when it is loaded, has its space mark after another
-character), so the tokens are those of the whole text, and a stretch that comes again
-is encoded once (``CACHED`` are remembered).
+Texts are encoded in *stretches*: space+text is cut before white space that follows
+another character (but a last space) and before an ASCII mark, apart from the
+apostrophe, that follows a Latin letter. Neither tokenizer joins anything across such a
+place: A's pattern has a boundary there whatever surrounds it, and marks and white space
+that some piece of B has after a letter don't cut (read from the model). So the tokens
+are those of the whole text, and a stretch that comes again is encoded once (about
+``CACHED`` are remembered, then all are forgotten).
 
 Link counts over the corpus:
 
@@ -40,6 +41,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +55,8 @@ from pricegrid.llm import words as W
 from pricegrid.session import cut_lineage
 
 CHUNK = 1 << 21
-CACHED = 1 << 18
-_STRETCH = re.compile(r"(?<=\S) (?=.)", re.S)
+CACHED = 400_000
+_LETTER = "[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]"
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 Batches = Iterator[pa.RecordBatch]
@@ -71,87 +73,148 @@ def _byte_letters() -> dict[str, int]:
 
 class Aligner:
     """Both tokenizers and the stretches they have encoded. Each remembered stretch has
-    its numbers of tokens and groups, its groups as text and its links as ``a << 32 | b``."""
+    its numbers of tokens (``n_a << 32 | n_b``), its groups as text with a ``;`` before
+    each, their byte ends in it and its links (``a << 32 | b``)."""
 
     def __init__(self, a_path: str, b_path: str):
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        letters = _byte_letters()
-        added = self.a.get_added_tokens_decoder()
-        self.a_bytes = {i: t.encode() if i in added else bytes(letters[c] for c in t) for t, i in self.a.get_vocab().items()}
-        self.b_bytes = []
+        letters, added = _byte_letters(), self.a.get_added_tokens_decoder()
+        a_bytes = [b""] * (max(self.a.get_vocab().values()) + 1)
+        for token, i in self.a.get_vocab().items():
+            a_bytes[i] = token.encode() if i in added else bytes(letters[c] for c in token)
+        b_bytes, joined = [], set()  # the pairs of neighbouring characters inside B's pieces
         for i in range(self.b.vocab_size()):
             piece = self.b.id_to_piece(i)
             byte = _BYTE.fullmatch(piece)
-            if "▁" in piece.lstrip("▁"):
-                raise ValueError(f"piece {piece!r} joins words")
-            self.b_bytes.append(bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode())
+            b_bytes.append(bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode())
+            joined |= set() if byte else {(x, y) for x, y in zip(piece, piece[1:]) if (x, y) != ("▁", "▁")}
+        if any(y == "▁" for _, y in joined):
+            raise ValueError("a piece of the second tokenizer joins words")
+        white = "".join(c for c in "\t\n\v\f\r" if not any(y == c for _, y in joined))
+        after = {y for x, y in joined if re.match(_LETTER, x)}
+        marks = "".join(re.escape(c) for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'" and c not in after)
+        self.cut = re.compile(rf"(?<=\S)(?= .|[{white}])" + (rf"|(?<={_LETTER})(?=[{marks}])" if marks else ""), re.S)
+        self.bytes = a_bytes, b_bytes
+        self.sizes = tuple(np.array([len(x) for x in side], np.int64) for side in self.bytes)
         self.forget()
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.n_a: list[int] = []
-        self.n_b: list[int] = []
-        self.ends: list[list[int]] = []
+        self.n: list[int] = []
         self.groups: list[bytes | None] = []  # None: not the stretch's bytes
+        self.ends: list[bytes] = []
         self.links: list[bytes] = []
+        self.wrong: set[int] = set()
 
     def learn(self, stretches: list[str]) -> None:
-        found = self.a.encode_batch([" " + s for s in stretches], add_special_tokens=False)
-        for stretch, a, b in zip(stretches, found, self.b.encode(stretches, return_type="proto", num_threads=1)):
-            raw = (" " + stretch).encode()
-            a_ids, pieces = a.ids, [(p.id, p.end + 1) for p in b.pieces]
-            b_ids = [i for i, _ in pieces]
-            a_parts, b_parts = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-            self.number[stretch] = len(self.groups)
-            if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
-                groups, links, at = None, [], []
-            else:
-                chars = [end for _, end in a.offsets]
-                if len(raw) > len(stretch) + 1:  # some character has several bytes
-                    byte_at = np.cumsum([0, *(len(c.encode()) for c in " " + stretch)]).tolist()
-                    chars = [byte_at[c] for c in chars]
-                groups, links, at = _grouped(a_ids, _refined(chars, a_parts), b_ids, _refined([e for _, e in pieces], b_parts))
-            self.n_a.append(len(a_ids))
-            self.n_b.append(len(b_ids))
-            self.ends.append(at)
-            self.groups.append(groups)
-            self.links.append(np.array(links, np.int64).tobytes())
-
-    def documents(self, texts: list[str | None]) -> Iterator[list[int] | None]:
-        """For each text the numbers of its stretches, in order; None without tokens."""
-        if len(self.groups) > CACHED:
+        """Encodes the stretches, many in one text; one that ends in white space is a
+        text of its own, as it would be joined with the space that follows."""
+        together = [s for s in stretches if not s[-1].isspace()]
+        for start in range(0, len(together), 4096):
+            self._learn(together[start:start + 4096])
+        for stretch in stretches:
+            if stretch[-1].isspace():
+                self._learn([stretch])
+
+    def _learn(self, stretches: list[str]) -> None:
+        # a stretch without a space goes on after a letter, which is a unit of its own
+        units = [u for s in stretches for u in ((s,) if s[0] == " " else (" a", s))]
+        own = np.array([k for s in stretches for k in ((True,) if s[0] == " " else (False, True))])
+        text = "".join(units)
+        raw = text.encode()
+        chars = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        byte_at = np.concatenate([[0], np.cumsum(1 + (chars > 0x7F) + (chars > 0x7FF) + (chars > 0xFFFF))])
+        last = byte_at[np.cumsum([len(u) for u in units])]  # where each unit ends
+        start = np.concatenate([[0], last[:-1]])
+        a = self.a.encode(text, add_special_tokens=False)
+        found = [(p.id, p.end) for p in self.b.encode(text[1:], return_type="proto", num_threads=1).pieces]
+        b_ids, b_ends = np.array(found, np.int64).reshape(-1, 2).T
+        ids = np.array(a.ids, np.int64), b_ids
+        coarse = byte_at[np.array([end for _, end in a.offsets], np.int64)], b_ends + 1
+        of = [np.minimum(np.searchsorted(last, c), len(last) - 1) for c in coarse]  # the unit of each token
+        right = np.ones(len(units), bool)
+        for side in (0, 1):
+            if b"".join([self.bytes[side][i] for i in ids[side].tolist()]) != raw:
+                cut = np.searchsorted(of[side], np.arange(len(units) + 1)).tolist()
+                for k in range(len(units)):
+                    right[k] &= b"".join([self.bytes[side][i] for i in ids[side][cut[k]:cut[k + 1]].tolist()]) == raw[start[k]:last[k]]
+        if not right.all():
+            wrong = {u for u, r in zip(units, right) if not r}
+            if others := [s for s in stretches if s not in wrong]:
+                self._learn(others)
+            if len(stretches) > 1:  # alone, one that only stood beside a wrong one comes out right
+                for s in wrong.intersection(stretches):
+                    self._learn([s])
+            return
+        ends = [_refined(*x, start) for x in zip(coarse, of, (n[i] for n, i in zip(self.sizes, ids)))]
+        common = [_among(x, y) for x, y in (ends, ends[::-1])]
+        written, sizes = _written(ids, common)
+        n = len(units)
+        text_at = np.concatenate([[0], np.cumsum(np.bincount(np.concatenate(of), sizes, n))]).astype(np.int64)
+        unit = of[0][common[0]]
+        links = (ids[0][common[0]] << 32 | ids[1][common[1]]).tobytes()
+        at = (ends[0][common[0]] - start[unit]).tobytes()
+        cut_at = 8 * np.concatenate([[0], np.cumsum(np.bincount(unit, minlength=n))])
+        counts = np.bincount(of[0], minlength=n) << 32 | np.bincount(of[1], minlength=n)
+        own = np.flatnonzero(own)
+        for s, c, x, y, i, j in zip(stretches, counts[own].tolist(), text_at[own].tolist(), text_at[own + 1].tolist(),
+                                    cut_at[own].tolist(), cut_at[own + 1].tolist()):
+            k = self.number[s]
+            self.n[k], self.groups[k], self.ends[k], self.links[k] = c, written[x:y], at[i:j], links[i:j]
+
+    def documents(self, texts: list[str | None]) -> list[list[int]]:
+        """For each text the numbers of its stretches, in order; empty without tokens."""
+        if len(self.n) > CACHED:
             self.forget()
-        cut = [_STRETCH.split(t) if t else [] for t in texts]
-        if new := list({s: None for c in cut for s in c if s not in self.number}):
+        number, known = self.number, len(self.number)
+        found = [[number.setdefault(s, len(number)) for s in self.cut.split(" " + t)] if t else [] for t in texts]
+        if len(number) > known:
+            new = list(islice(number, known, None))
+            for kept, nothing in ((self.n, 0), (self.groups, None), (self.ends, b""), (self.links, b"")):
+                kept.extend([nothing] * len(new))
             self.learn(new)
-        for c in cut:
-            numbers = [self.number[s] for s in c]
-            yield numbers if numbers and all(self.groups[i] is not None for i in numbers) else None
-
-
-def _refined(coarse: list[int], parts: list[bytes]) -> list[int]:
-    """Byte ends of tokens: the library's, where the span is as long as the decoded token."""
-    ends, at = [], 0
-    for end, part in zip(coarse, parts):
-        at = end if end - at == len(part) else at + len(part)
-        ends.append(at)
-    return ends
-
-
-def _grouped(a_ids: list[int], a_ends: list[int], b_ids: list[int], b_ends: list[int]) -> tuple[bytes, list[int], list[int]]:
-    """The groups as text, their links, and the byte ends that cut them."""
-    groups, links, at, i, j, a_from, b_from = [], [], [], 0, 0, 0, 0
-    while i < len(a_ids) and j < len(b_ids):
-        a, b = a_ends[i], b_ends[j]
-        if a == b:
-            groups.append(f"{','.join(map(str, a_ids[a_from:i + 1]))}|{','.join(map(str, b_ids[b_from:j + 1]))}")
-            links.append(a_ids[i] << 32 | b_ids[j])
-            at.append(a)
-            a_from, b_from = i + 1, j + 1
-        i, j = i + (a <= b), j + (b <= a)
-    return ";".join(groups).encode(), links, at
+            self.wrong.update(i for i in range(known, len(number)) if self.groups[i] is None)
+        return [n if not self.wrong or self.wrong.isdisjoint(n) else [] for n in found]
+
+    def written(self, numbers: list[int]) -> bytes:
+        return b"".join([self.groups[i] for i in numbers])[1:]
+
+    def counts(self, numbers: list[int]) -> tuple[int, int]:
+        n = sum([self.n[i] for i in numbers])
+        return n >> 32, n & 0xFFFFFFFF
+
+
+def _refined(coarse: np.ndarray, of: np.ndarray, sizes: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Byte ends of tokens: the library's, where the span is as long as the decoded token;
+    otherwise counted from the start of the unit in decoded bytes."""
+    total = np.cumsum(sizes)
+    before = np.concatenate([[0], total])[np.searchsorted(of, np.arange(len(start)))]
+    return np.where(np.diff(coarse, prepend=0) == sizes, coarse, start[of] + total - before[of])
+
+
+def _among(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of the ascending ``x`` are in the ascending ``y``."""
+    return y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+
+
+def _written(ids: tuple[np.ndarray, np.ndarray], common: list[np.ndarray]) -> tuple[bytes, np.ndarray]:
+    """The groups of all tokens as one text, and how much of it each token takes (A's
+    tokens, then B's): a mark and the decimal id."""
+    group = [np.cumsum(c) - c for c in common]  # number of the group that each token is in
+    first = [np.concatenate([[True], g[1:] != g[:-1]]) for g in group]
+    mark = np.concatenate([np.where(f, ord(m), ord(",")) for f, m in zip(first, ";|")])
+    place = np.concatenate([g * 2 + side for side, g in enumerate(group)])
+    order = np.argsort(place, kind="stable")
+    both = np.concatenate(ids)
+    powers = 10 ** np.arange(len(str(int(both.max()))) - 1, -1, -1)
+    digits = both[order, None] // powers
+    letters = np.concatenate([mark[order, None], digits % 10 + ord("0")], axis=1).astype(np.uint8)
+    used = np.concatenate([np.ones((len(both), 1), bool), (digits > 0) | (powers == 1)], axis=1)
+    sizes = np.empty(len(both), np.int64)
+    sizes[order] = used.sum(axis=1)
+    return letters[used].tobytes(), sizes
 
 
 @cache
@@ -172,13 +235,14 @@ def align(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", tex
             for batch in W.slices(whole, 1, 1 << 20):
                 n_a, n_b, groups, ends = [], [], [], []
                 for numbers in tool.documents(batch.column(1).to_pylist()):
-                    numbers, start, at = numbers or [], 0, []
+                    start, at = 0, []
                     for i in numbers:
-                        at.extend(start + e for e in tool.ends[i])
+                        at.extend((np.frombuffer(tool.ends[i], np.int64) + start).tolist())
                         start = at[-1]
-                    n_a.append(sum(tool.n_a[i] for i in numbers))
-                    n_b.append(sum(tool.n_b[i] for i in numbers))
-                    groups.append(b";".join([tool.groups[i] for i in numbers]).decode())
+                    n = tool.counts(numbers)
+                    n_a.append(n[0])
+                    n_b.append(n[1])
+                    groups.append(tool.written(numbers).decode())
                     ends.append(at)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()), pa.array(groups, pa.string()),
                                                   pa.array(ends, pa.list_(pa.int64()))], ["doc_id", "n_a", "n_b", "groups", "ends"])
@@ -215,8 +279,8 @@ def _coded(a_path: str, b_path: str, size: int) -> Callable[[Batches], Batches]:
                     links, digest = np.empty(0, np.int64), ""
                     if numbers:
                         links = np.frombuffer(b"".join([tool.links[i] for i in numbers]), np.int64)
-                        digest = hashlib.sha256(b";".join([tool.groups[i] for i in numbers])).hexdigest()
-                    counts = [sum([n[i] for i in numbers or []]) for n in (tool.n_a, tool.n_b)]
+                        digest = hashlib.sha256(tool.written(numbers)).hexdigest()
+                    counts = tool.counts(numbers)
                     for start in range(0, max(1, len(links)), size):  # a very long document goes on in further chunks
                         part = links[start:start + size]
                         held.append((rid, doc, *(counts if not start else (0, 0)), len(part), digest, part))
