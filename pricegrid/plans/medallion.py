@@ -48,8 +48,10 @@ def curated_frame(spark: SparkSession, rows=K.CURATED_PRODUCTS) -> DataFrame:
 
 def run(spark: SparkSession, landing: str, out_root: str, aliases: DataFrame | None = None,
         curated: DataFrame | None = None, attrs: Sequence[str] = K.STATION_ATTRIBUTES,
-        bronze_path: str | None = None, bronze_checkpoint: str | None = None) -> dict[str, str]:
-    """Build every table; returns {table name: version path}."""
+        bronze_path: str | None = None, bronze_checkpoint: str | None = None,
+        bronze_root: str | None = None, full_refresh: bool = False) -> dict[str, str]:
+    """Build every table; returns {table name: version path}. With ``bronze_root`` bronze
+    is kept in generations there, and ``full_refresh`` ingests all files into a new one."""
     b = Build(spark, out_root)
     aliases = aliases if aliases is not None else alias_frame(spark)
     curated = curated if curated is not None else curated_frame(spark)
@@ -57,9 +59,13 @@ def run(spark: SparkSession, landing: str, out_root: str, aliases: DataFrame | N
     # bronze: incremental file stream, drained and stopped
     bronze_path = bronze_path or f"{b.root}/bronze/price_raw"
     bronze_checkpoint = bronze_checkpoint or f"{b.root}/_checkpoints/price_raw"
-    bronze_stream.ingest(spark, landing, bronze_path, bronze_checkpoint)
+    if bronze_root:
+        generation = bronze_stream.refresh(spark, landing, bronze_root, full_refresh)
+        bronze_path, bronze_checkpoint = f"{generation}/rows", f"{generation}/checkpoint"
+    else:
+        bronze_stream.ingest(spark, landing, bronze_path, bronze_checkpoint)
     b.paths["price_raw"] = bronze_path
-    bronze = spark.read.parquet(bronze_path)
+    bronze = bronze_stream.committed_rows(spark, bronze_path, bronze_checkpoint)
 
     # silver: rows are converted and judged once; typed rows and rejects read that
     judged = cut_lineage(clean.classify(clean.drop_blank(bronze)), "judged")
@@ -126,11 +132,17 @@ def run(spark: SparkSession, landing: str, out_root: str, aliases: DataFrame | N
 
 
 def land(spark: SparkSession, archive_dir: str, landing: str, audit_path: str) -> DataFrame:
-    """L1: extract every archive into the landing folder and append the new
-    files to the audit table (files already audited are skipped)."""
-    audit = tables.read_or_none(spark, audit_path)
-    manifest = landing_src.extract(spark, archive_dir, landing)
-    return landing_src.append_audit(manifest, audit_path, audit)
+    """L1: extract the archives that no earlier run has landed, append the new files to
+    the audit table and the archives to the ledger beside it. A listed archive whose
+    length and modification time are unchanged is not opened. A run that stops before
+    its ledger entry is done again, with the same files."""
+    ledger_path = f"{audit_path.rstrip('/')}-archives"
+    ledger = tables.read_or_none(spark, ledger_path)
+    found = cut_lineage(landing_src.archives(spark, archive_dir, ledger), "archives")
+    manifest = landing_src.extract(spark, archive_dir, landing, ledger)
+    rows = landing_src.append_audit(manifest, audit_path, tables.read_or_none(spark, audit_path))
+    found.write.mode("append").parquet(ledger_path)
+    return rows
 
 
 # Table descriptions written by ``describe`` (our own wording).

@@ -367,7 +367,7 @@ def _ingested(spark, sf_dir) -> DataFrame:
     landing = _landed(spark, sf_dir)
     table, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "bronze-ckpt")
     bronze_stream.ingest(spark, landing, table, ckpt)
-    return spark.read.parquet(table)
+    return bronze_stream.committed_rows(spark, table, ckpt)
 
 
 @query

@@ -26,6 +26,7 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "recursiveFileLookup": "true",
+    "pathGlobFilter": "*.csv",  # nothing that is still being written under another name
 }
 CORRUPT = "_corrupt_record"
 MALFORMED = "malformed_record"
@@ -84,15 +85,16 @@ def _norm_path(c):
 
 
 def new_files(spark: SparkSession, path: str, known: DataFrame | None = None) -> DataFrame:
-    """(path) of the CSV files under ``path`` that ``known`` (path) doesn't list.
-    The binaryFile listing reads no content."""
+    """(path, length, modified) of the CSV files under ``path`` that ``known`` (path)
+    doesn't list. The binaryFile listing reads no content."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.csv").load(path).select("path"))
+             .option("pathGlobFilter", "*.csv").load(path)
+             .select("path", "length", F.col("modificationTime").alias("modified")))
     if known is None:
         return files
     seen = known.select(_norm_path(F.col("path")).alias("_p"))
     return (files.withColumn("_p", _norm_path(F.col("path")))
-            .join(seen, "_p", "left_anti").select("path"))
+            .join(seen, "_p", "left_anti").drop("_p"))
 
 
 def check_layout(files: DataFrame, expected: Sequence[str] = K.SOURCE_HEADER) -> DataFrame:
@@ -127,7 +129,7 @@ def check_layout(files: DataFrame, expected: Sequence[str] = K.SOURCE_HEADER) ->
             yield pd.DataFrame(rows, columns=["path", "columns_read", "columns_expected",
                                               "positions", "read", "expected"])
 
-    return files.mapInPandas(first_lines, "path string, columns_read int, columns_expected int, "
+    return files.select("path").mapInPandas(first_lines, "path string, columns_read int, columns_expected int, "
                              "positions array<int>, read array<string>, expected array<string>")
 
 

@@ -83,6 +83,8 @@ def register(spark: SparkSession, table: str, path: str) -> None:
     external: re-creating its entry moves no data, and readers see this version."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        spark.catalog.recoverPartitions(table)
 
 
 def layout_stats(spark: SparkSession, path: str) -> DataFrame:

@@ -151,4 +151,5 @@ def plant_malformed(spark: SparkSession, sf_dir: str, landing: str) -> None:
     heads = lines.select(F.lit(";".join(K.SOURCE_HEADER)).alias("value"), "source_file",
                          F.lit(0).alias("_o")).distinct()
     (heads.unionByName(lines).repartition("source_file").sortWithinPartitions("source_file", "_o")
-     .select("value", "source_file").write.mode("append").partitionBy("source_file").text(landing))
+     .select("value", "source_file").write.mode("append").partitionBy("source_file")
+     .option("sep", "\u0001").option("quote", "").csv(landing))  # whole lines, as they are

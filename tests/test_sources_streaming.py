@@ -194,3 +194,136 @@ def test_runs_summary_layout_gain_break_even(spark):
     bs = spark.createDataFrame([(6.0,), (7.38,)], "seconds double")
     be = ops.break_even(rb, bs).first()
     assert be.break_even_dates == pytest.approx(25.6 / 6.69)
+
+
+def _zip(path, **members):
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, body in members.items():
+            z.writestr(f"{name}.csv", body)
+
+
+def test_what_is_ingested_is_what_was_checked(spark, scratch, monkeypatch):
+    """A temporary file, and a wrong file that arrives after the check, stay out of bronze."""
+    land, table, ckpt = scratch("land"), scratch("bronze"), scratch("ckpt")
+    write(land, "a.csv", [HEADER, ROW])
+    write(land, "a.csv.77aa.part", [HEADER, ROW, ROW])
+    checked = bronze.require_layout
+
+    def and_then_a_late_file(files, header):
+        checked(files, header)
+        write(land, "late.csv", ["x;y", "1;2"])
+    monkeypatch.setattr(bronze, "require_layout", and_then_a_late_file)
+    assert bronze_stream.ingest(spark, land, table, ckpt) == 1
+    monkeypatch.undo()
+    rows = bronze_stream.committed_rows(spark, table, ckpt).collect()
+    assert len(rows) == 1 and rows[0].source_file.endswith("/a.csv") and "batch" not in rows[0].asDict()
+    assert spark.read.parquet(bronze_stream.claims_path(ckpt)).count() == 1
+    with pytest.raises(ValueError, match="late.csv"):
+        bronze_stream.ingest(spark, land, table, ckpt)  # now it is listed, and checked
+    assert bronze_stream.committed_rows(spark, table, ckpt).count() == 1
+    assert bronze.read_batch(spark, land).where("region = 'SE'").count() == 1
+    assert landing.file_stats(spark, land, r"([^/]+)$").count() == 2
+
+
+def test_a_crash_before_the_commit_replays_to_the_same_rows(spark, scratch, monkeypatch):
+    land, table, ckpt = scratch("land"), scratch("bronze"), scratch("ckpt")
+    for i in range(3):
+        write(land, f"f{i}.csv", [HEADER] + [ROW] * (i + 1))
+    whole = bronze_stream.load
+
+    def half(batch, batch_id, table_path, checkpoint, *rest):
+        if batch_id == 1:
+            _, rows = bronze_stream._rows(batch, K.SOURCE_HEADER, K.BRONZE_COLUMNS)
+            rows.write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
+            raise RuntimeError("lost before the commit")
+        whole(batch, batch_id, table_path, checkpoint, *rest)
+    monkeypatch.setattr(bronze_stream, "load", half)
+    with pytest.raises(Exception, match="lost before the commit"):
+        bronze_stream.ingest(spark, land, table, ckpt, max_files=1)
+    seen = bronze_stream.committed_rows(spark, table, ckpt).count()
+    assert seen < 6  # readers see committed batches only
+    monkeypatch.undo()
+    assert bronze_stream.ingest(spark, land, table, ckpt, max_files=1) == 3
+    counts = bronze.load_counts(bronze_stream.committed_rows(spark, table, ckpt), r"(f[0-9])\.csv").collect()
+    assert {r.csv_name: r.bronze_rows for r in counts} == {"f0": 1, "f1": 2, "f2": 3}
+
+
+def test_a_file_changed_after_its_check_is_refused(spark, scratch):
+    land, table, ckpt = scratch("land"), scratch("bronze"), scratch("ckpt")
+    write(land, "a.csv", [HEADER, ROW])
+    assert bronze_stream.claim(spark, land, ckpt) == 1
+    write(land, "a.csv", [HEADER, ROW, ROW])
+    with pytest.raises(Exception, match="changed after their header was checked"):
+        bronze_stream.ingest(spark, land, table, ckpt)
+
+
+def test_full_refresh_switches_readers_when_it_is_complete(spark, scratch, monkeypatch):
+    land, root = scratch("land"), scratch("raw")
+    write(land, "a.csv", [HEADER, ROW])
+    first = bronze_stream.refresh(spark, land, root)
+    write(land, "b.csv", [HEADER, ROW, ROW])
+    assert bronze_stream.refresh(spark, land, root) == first and bronze_stream.read(spark, root).count() == 3
+
+    def lost(*_):
+        raise RuntimeError("lost")
+    monkeypatch.setattr(bronze_stream, "load", lost)
+    with pytest.raises(Exception, match="lost"):
+        bronze_stream.refresh(spark, land, root, full_refresh=True)
+    assert bronze_stream.current(spark, root) == first and bronze_stream.read(spark, root).count() == 3
+    monkeypatch.undo()
+    write(land, "a.csv", [HEADER, ROW, ROW, ROW, ROW])  # corrected in place: only a full refresh reads it again
+    assert bronze_stream.refresh(spark, land, root, full_refresh=True) != first
+    assert bronze_stream.read(spark, root).count() == 6
+    assert spark.read.parquet(f"{first}/rows").count() == 3  # the old generation is whole
+
+
+def test_a_second_landing_opens_no_archive(spark, scratch):
+    from pricegrid.plans import medallion
+    arch, land, audit = scratch("arch"), scratch("land"), scratch("audit")
+    os.makedirs(arch)
+    _zip(os.path.join(arch, "ca-2025-01.zip"), a=f"{HEADER}\n{ROW}\n", b=f"{HEADER}\n{ROW}")
+    opened = spark.sparkContext.accumulator(0)
+    real = landing._land
+
+    def counted(*args):
+        opened.add(1)
+        return real(*args)
+    landing._land = counted
+    try:
+        rows = medallion.land(spark, arch, land, audit).collect()
+        assert sorted((r.csv_lines, r.csv_bytes) for r in rows) == sorted((2, os.path.getsize(os.path.join(land, r.csv_name))) for r in rows)
+        before = opened.value
+        assert before >= 1 and medallion.land(spark, arch, land, audit).count() == 0
+        assert opened.value == before
+        _zip(os.path.join(arch, "ca-2025-02.zip"), a=f"{HEADER}\n{ROW}\n")
+        assert [r.semester for r in medallion.land(spark, arch, land, audit).collect()] == ["2025-02"]
+        assert opened.value == before + 1
+        # the same archive under a new time is read, and lands nothing new
+        os.utime(os.path.join(arch, "ca-2025-02.zip"), (1, 1))
+        assert medallion.land(spark, arch, land, audit).count() == 0 and opened.value == before + 2
+    finally:
+        landing._land = real
+    assert os.listdir(f"{land}-incoming") == [] and len(os.listdir(land)) == 3
+
+
+def test_the_archive_is_hashed_while_its_members_pass(tmp_path):
+    import hashlib
+    path = tmp_path / "a.zip"
+    _zip(path, a="x;y\n" * 5000, b="z" * 100_000)
+
+    class Counted(io.FileIO):
+        passed = 0
+
+        def read(self, n=None):
+            data = super().read(-1 if n is None else n)
+            Counted.passed += len(data)
+            return data
+    with Counted(path) as f:
+        hashed = landing.Hashed(f)
+        with zipfile.ZipFile(hashed) as z:
+            for m in z.infolist():
+                with z.open(m) as member:
+                    while member.read(1000):
+                        pass
+            assert hashed.hexdigest() == hashlib.sha256(path.read_bytes()).hexdigest()
+    assert Counted.passed < path.stat().st_size * 2
