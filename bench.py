@@ -3,11 +3,11 @@
 Headline metric (comparable to the published baseline): the weekly rollup,
 join + aggregation over the materialised fact and station tables, keyed as
 the baseline's timed query (week by date_trunc, state, city, product), median
-of 5 runs after one warm-up, every output column forced with the noop sink.
+of 5 runs after three warm-ups, every output column forced with the noop sink.
 The stored rollup (calendar join, month from week start, edge flag) is timed
 separately. The per-query section also times whole chains from
 the raw TESTDATA tables (clean, dedup, SCD2 build, incremental apply, fact,
-rollup), each forced to completion with the ``noop`` sink.
+rollup), each forced to completion with the ``noop`` sink, once after one warm-up.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 """

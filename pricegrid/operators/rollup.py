@@ -1,44 +1,88 @@
 """Weekly rollup with exact percentiles, edge-week flag and coverage.
 
-Percentiles are exact (``percentile``, linear interpolation), never
-approximate. One ``percentile(x, array(.1,.5,.9))`` call keeps a single
-value->count buffer per group instead of three; the buffer is combined
-map-side, so its size per group is bounded by distinct prices, not rows.
+Percentiles are exact (linear interpolation), never approximate, and stations are
+counted exactly, both behind ONE exchange on the group: the narrow joined rows are
+partitioned by the group key, and there a group's prices and distinct stations are
+collected, sorted once and read at the percentiles' places. Nothing wide is buffered
+below that exchange. A group is collected only up to ``HOT_ROWS`` rows; larger ones are
+found by exact counts first (their week and product, from the fact alone, tell whether
+there can be any) and go another way: prices counted per (group, price) and stations per
+(group, station), both combined before the shuffle, so such a group arrives as one row
+per task and distinct value.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricegrid.functions.keys import natural_key
 from pricegrid.session import cut_lineage
 
-PCTS = [0.1, 0.5, 0.9]
-
-
-def price_stats(price: str = "sale_price", station: str = "reseller_cnpj") -> list:
-    # DOUBLE keys make the value->count buffer cheaper to hash and serialise
-    # than DECIMAL keys; Spark interpolates in DOUBLE either way.
-    p = F.percentile(F.col(price).cast("double"), PCTS)
-    return [
-        F.count(F.lit(1)).alias("observations"),
-        F.count_distinct(station).alias("stations"),
-        p.alias("_p"),
-        F.min(price).alias("min_price"),
-        F.max(price).alias("max_price"),
-        F.sum(price).alias("_sum"),
-    ]
-
-
-def _finish(agg: DataFrame, keys: list) -> DataFrame:
-    return agg.select(
-        *keys, "observations", "stations",
-        F.col("_p")[0].alias("p10_price"), F.col("_p")[1].alias("median_price"),
-        F.col("_p")[2].alias("p90_price"), "min_price", "max_price",
-        # avg as sum/count in DOUBLE: exact decimal sum, one rounding
-        (F.col("_sum").cast("double") / F.col("observations")).alias("avg_price"),
-    )
+PCTS = {"p10_price": 0.1, "median_price": 0.5, "p90_price": 0.9}
+HOT_ROWS = 1 << 22  # of one group, collected in one task
+
+
+def _at(prices: str, share: float) -> Column:
+    """The percentile of a sorted array: between the two places around it."""
+    place = (F.size(prices) - 1) * F.lit(share)
+    low = F.floor(place).cast("int")
+    next_one = F.get(prices, F.least(low + 1, F.size(prices) - 1))
+    return F.when(place == low, F.get(prices, low)).otherwise((low + 1 - place) * F.get(prices, low) + (place - low) * next_one)
+
+
+def _collected(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    # Spark interpolates percentiles in DOUBLE; so does this
+    groups = (rows.repartition(*keys).groupBy(*keys)
+              .agg(F.array_sort(F.collect_list(F.col("sale_price").cast("double"))).alias("_prices"),
+                   F.count(F.lit(1)).alias("observations"), F.size(F.collect_set("reseller_cnpj")).cast("long").alias("stations"),
+                   F.min("sale_price").alias("min_price"), F.max("sale_price").alias("max_price"),
+                   F.sum("sale_price").alias("_sum")))
+    return groups.select(*keys, "observations", "stations", *(_at("_prices", p).alias(n) for n, p in PCTS.items()),
+                         "min_price", "max_price", "_sum")
+
+
+def _counted(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same columns from counts per price and per station."""
+    prices = rows.groupBy(*keys, "sale_price").agg(F.count(F.lit(1)).alias("_n"))
+    stats = prices.groupBy(*keys).agg(
+        F.sum("_n").alias("observations"), F.percentile(F.col("sale_price").cast("double"), list(PCTS.values()), F.col("_n")).alias("_p"),
+        F.min("sale_price").alias("min_price"), F.max("sale_price").alias("max_price"),
+        F.sum(F.col("sale_price") * F.col("_n")).alias("_sum"))
+    stations = rows.select(*keys, "reseller_cnpj").distinct().groupBy(*keys).agg(F.count("reseller_cnpj").alias("stations"))
+    return (stats.join(stations, list(keys))
+            .select(*keys, "observations", "stations", *(F.col("_p")[i].alias(n) for i, n in enumerate(PCTS)),
+                    "min_price", "max_price", F.col("_sum").cast("decimal(38,3)").alias("_sum")))
+
+
+def _hot(fact: DataFrame, rows: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
+    """The groups of more than ``limit`` rows, None if there are none. No group has more
+    rows than its week and product have in the fact."""
+    week = F.date_trunc("week", "collection_date").cast("date").alias("week_start_date")
+    large = fact.groupBy(week, "product_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    if large.isEmpty():
+        return None
+    found = (rows.join(large, ["week_start_date", "product_key"], "left_semi").groupBy(*keys)
+             .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(*keys))
+    found = cut_lineage(found, "hot-groups")
+    return None if found.isEmpty() else found
+
+
+def price_groups(fact: DataFrame, rows: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+    """Observations, stations, percentiles, extremes and average price of each group of
+    ``rows`` (fact rows with ``keys``, week_start_date and product_key among them)."""
+    rows = rows.select(*keys, "reseller_cnpj", "sale_price")
+    hot = _hot(fact, rows, keys, HOT_ROWS if hot_rows is None else hot_rows)
+    if hot is None:
+        groups = _collected(rows, keys)
+    else:
+        groups = (_collected(rows.join(hot, list(keys), "left_anti"), keys)
+                  .unionByName(_counted(rows.join(hot, list(keys), "left_semi"), keys)))
+    # avg as sum/count in DOUBLE: exact decimal sum, one rounding
+    average = F.col("_sum").cast("double") / F.col("observations")
+    return groups.withColumn("avg_price", average).drop("_sum")
 
 
 def enrich(fact: DataFrame, dim_station: DataFrame, dim_city: DataFrame,
@@ -59,7 +103,7 @@ def weekly_unmarked(fact: DataFrame, dim_station: DataFrame, dim_city: DataFrame
                     dim_date: DataFrame) -> DataFrame:
     e = enrich(fact, dim_station, dim_city, dim_date)
     keys = ["survey_week_key", "week_start_date", "iso_year", "city_key", "product_key"]
-    agg = _finish(e.groupBy(*keys).agg(*price_stats()), keys)
+    agg = price_groups(fact, e, keys)
     # month from the week start, not the date: a week crossing a month stays one row
     return agg.select(
         "survey_week_key", "week_start_date", "iso_year",
@@ -91,7 +135,7 @@ def weekly_raw_keys(fact: DataFrame, dim_station: DataFrame) -> DataFrame:
     e = fact.join(s, "station_key").withColumn(
         "week_start_date", F.date_trunc("week", F.col("collection_date")).cast("date"))
     keys = ["week_start_date", "state", "city", "product_key"]
-    return _finish(e.groupBy(*keys).agg(*price_stats()), keys)
+    return price_groups(fact, e, keys)
 
 
 def profile(weekly_df: DataFrame) -> DataFrame:

@@ -65,3 +65,32 @@ def test_compare_values_and_group_counts(spark):
     assert g["k3"] == (1, 0, True) and g["k1"] == (1, 1, False)
     m = compare.missing_keys(a, b, ["k"]).first()
     assert (m.only_in_left, m.only_in_right) == (1, 1)
+
+
+def test_large_groups_go_by_counts_and_give_the_same(spark, monkeypatch):
+    """Groups over the limit (all, some or none of them) against the plain definition."""
+    import statistics
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i % 9) for i in range(240)]
+    rows = [(d, f"k{i % 7}", f"p{i % 2 if i % 5 else 0}", f"{(i * 37 % 101) / 10 + 1:.3f}") for i, d in enumerate(days)]
+    fact = spark.createDataFrame(rows, "collection_date date, station_key string, product_key string, price string")
+    fact = fact.withColumn("sale_price", F.col("price").cast("decimal(10,3)")).drop("price")
+    dim = spark.createDataFrame([(f"k{i}", f"s{i % 4}", "SP", "A" if i < 5 else "B") for i in range(7)],
+                                "station_key string, reseller_cnpj string, state string, city string")
+    station = {r.station_key: r for r in dim.collect()}
+    groups = {}
+    for d, k, p, x in rows:
+        key = (d - dt.timedelta(days=d.weekday()), station[k].city, p)
+        groups.setdefault(key, []).append((float(x), station[k].reseller_cnpj))
+    want = {}
+    for key, found in groups.items():
+        x = [v for v, _ in found]
+        cuts = statistics.quantiles(x, n=10, method="inclusive") if len(x) > 1 else x * 9
+        want[key] = (len(x), len({s for _, s in found}), *(round(cuts[i], 9) for i in (0, 4, 8)), min(x), max(x), round(sum(x) / len(x), 9))
+    sizes = sorted(v[0] for v in want.values())
+    assert sizes[0] < sizes[-1]
+    for limit in (0, sizes[len(sizes) // 2], rollup.HOT_ROWS):
+        monkeypatch.setattr(rollup, "HOT_ROWS", limit)
+        got = {(r.week_start_date, r.city, r.product_key): (
+            r.observations, r.stations, round(r.p10_price, 9), round(r.median_price, 9), round(r.p90_price, 9),
+            float(r.min_price), float(r.max_price), round(r.avg_price, 9)) for r in rollup.weekly_raw_keys(fact, dim).collect()}
+        assert got == want

@@ -56,16 +56,23 @@ def test_clean_converts_once(spark):
         assert "regexp_replace" not in plan(df)  # both read the judged table
 
 
-def test_rollup_percentile_is_partial(spark, scratch):
+def test_rollup_has_one_exchange_on_the_group(spark, scratch):
     m = SurveyModel(spark, SF, materialise=False)
     paths = {}
     for n in ["fact", "dim_station", "dim_city", "dim_date"]:
         paths[n] = scratch(n)
         getattr(m, n).write.parquet(paths[n])
     r = {k: spark.read.parquet(v) for k, v in paths.items()}
-    p = plan(rollup.weekly_unmarked(r["fact"], r["dim_station"], r["dim_city"], r["dim_date"]))
-    assert "partial_percentile" in p and "approx" not in p
+    for p, group in ((plan(rollup.weekly_unmarked(r["fact"], r["dim_station"], r["dim_city"], r["dim_date"])), "city_key"),
+                     (plan(rollup.weekly_raw_keys(r["fact"], r["dim_station"])), "week_start_date")):
+        exchanges = [line for line in p.splitlines() if "Exchange hashpartitioning" in line]
+        on_group = [line for line in exchanges if group in line and "product_key" in line]
+        assert len(on_group) == 1 and "percentile" not in p and "distinct" not in p
+        # below that exchange nothing is collected: the narrow joined rows cross it
+        below = p[p.index(on_group[0]):]
+        assert "collect_list" not in below and "collect_set" not in below and "collect_list" in p
     # the city key is hashed per station version, below the join with the fact
+    p = plan(rollup.weekly_unmarked(r["fact"], r["dim_station"], r["dim_city"], r["dim_date"]))
     assert p.find("sha2") > p.find("station_key")
 
 
