@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pricegrid.operators import checks, clean, dedup, dims, facts, labels, rollup, scd2
 from pricegrid.operators import compare, consumer, gold
 from pricegrid.plans.model import SurveyModel
+from pricegrid.session import cut_lineage
 from pricegrid.sources import testdata as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -329,8 +330,8 @@ def _raw_label_dim(m: SurveyModel) -> DataFrame:
 @query
 def compare_missing_keys(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return compare.missing_keys(m.dim_station, _raw_label_dim(m),
-                                ["reseller_cnpj", "valid_from"])
+    return compare.missing_keys_by_checksum(m.dim_station, _raw_label_dim(m),
+                                            ["reseller_cnpj", "valid_from"])
 
 
 @query
@@ -343,10 +344,10 @@ def compare_group_counts(spark, sf_dir):
 @query
 def compare_values(spark, sf_dir):
     m = _m(spark, sf_dir)
-    a = rollup.weekly_raw_keys(m.fact, m.dim_station)
-    b = compare.percentiles_by_rank(m.fact, m.dim_station)
-    return compare.values(a, b, ["week_start_date", "state", "city", "product_key"],
-                          ["median_price", "p10_price"])
+    a = cut_lineage(rollup.weekly_raw_keys(m.fact, m.dim_station))
+    b = cut_lineage(compare.percentiles_by_rank(m.fact, m.dim_station))
+    return compare.values_by_checksum(a, b, ["week_start_date", "state", "city", "product_key"],
+                                      ["median_price", "p10_price"])
 
 
 # ------------------------------------------------------------------ bronze stream and landing
@@ -431,16 +432,51 @@ def layout_after_clustering(spark, sf_dir):
     src = _staged_fact(spark, sf_dir)
     out = tables.cluster(spark, src, ["collection_date", "product_key"],
                          scratch_path(spark, "tables"), "fact")
-    a, b = (tables.file_ranges(spark, out, "collection_date").alias(x) for x in "ab")
-    overlap = a.join(b, F.expr("a.file < b.file and a.lo < b.hi and b.lo < a.hi"))  # a row per file
+    overlap = tables.overlapping_files(tables.file_ranges(spark, out, "collection_date"))
     return _content(spark.read.parquet(out)).withColumn("overlapping_files", checks.count_of(overlap))
 
 
 @query
-def scd2_stream_apply(spark, sf_dir):
+def layout_after_packing(spark, sf_dir):
+    """Two large files and many small ones, as appends leave them: only small files are
+    rewritten, the large ones stay what they are."""
+    from pricegrid.session import scratch_path
+    from pricegrid.sources import tables
+    fact, path = _m(spark, sf_dir).fact, scratch_path(spark, "fact")
+    appended = F.pmod(F.xxhash64("station_key"), F.lit(4)) == 0
+    fact.where(~appended).repartition(2).write.parquet(path)
+    fact.where(appended).repartition(12).write.mode("append").parquet(path)
+    before = tables.files(spark, path)
+    large = before.agg(F.max("length")).first()[0]
+    manifest, rewritten = tables.pack_small(spark, path, scratch_path(spark, "tables"), "fact", large, large // 2)
+    after = spark.read.parquet(manifest)
+    small = before.where(F.col("length") < large // 2)
+    return _content(tables.read_manifest(spark, manifest)).select(
+        "*", small.agg(F.sum("length") >= rewritten).scalar().alias("only_small_files_rewritten"),
+        checks.count_of(before.join(after, "path")).alias("files_kept"), (checks.count_of(after) < checks.count_of(before)).alias("fewer_files"))
+
+
+@query
+def layout_after_interleaving(spark, sf_dir):
+    """Clustered by both columns together: a filter on either one skips files. One row for
+    each column; sorted by date first, a filter on the product opens every file."""
+    from pricegrid.session import scratch_path
+    from pricegrid.sources import tables
+    src, cols, found = _staged_fact(spark, sf_dir), ["collection_date", "product_key"], []
+    sixteenth = tables.layout_stats(spark, src).first()["size_bytes"] // 16 + 1
+    made = {kind: make(spark, src, cols, scratch_path(spark, "tables"), "fact", sixteenth)
+            for kind, make in (("plain", tables.cluster), ("interleaved", tables.cluster_interleaved))}
+    for col in cols:
+        share = {kind: tables.share_met(spark, out, col) for kind, out in made.items()}
+        found.append(_content(spark.read.parquet(made["interleaved"])).select(
+            F.lit(col).alias("filter_column"), "*", (share["interleaved"].scalar() <= 0.7).alias("skips_files"),
+            (share["plain"].scalar() <= 0.7).alias("skips_files_sorted")))
+    return found[0].unionByName(found[1])
+
+
+def _streamed_dimension(spark, sf_dir) -> tuple[str, str]:
     """History before the cut seeds the dimension; later observations arrive on
-    a stream in two micro-batches that share every date. The final version must
-    equal the one-shot build."""
+    a stream in two micro-batches that share every date. Returns its root and log."""
     from pricegrid.session import scratch_path
     from pricegrid.streaming import dimension_stream as DS
     m = _m(spark, sf_dir)
@@ -454,10 +490,31 @@ def scd2_stream_apply(spark, sf_dir):
         stream = spark.readStream.schema(later.schema).parquet(feed)
         DS.start(spark, stream, m.attrs, root, log, ckpt,
                  canonical=lambda b: scd2.canonicalise(b, T.alias_map(b.sparkSession))).awaitTermination()
-    dim, _, _ = DS.current(spark, root, log)
+    return root, log
+
+
+@query
+def scd2_stream_apply(spark, sf_dir):
+    """The final version of the streamed dimension, which must equal the one-shot build."""
+    from pricegrid.streaming import dimension_stream as DS
+    dim, _, _ = DS.current(spark, *_streamed_dimension(spark, sf_dir))
     return dim
 
 
+@query
+def scd2_as_of_batch(spark, sf_dir):
+    """The streamed dimension as it was before its first micro-batch."""
+    from pricegrid.streaming import dimension_stream as DS
+    return DS.version(spark, _streamed_dimension(spark, sf_dir)[1], -1)
+
+
+@query
+def scd2_version_diff(spark, sf_dir):
+    """What the two micro-batches together changed."""
+    from pricegrid.streaming import dimension_stream as DS
+    return DS.difference(spark, _streamed_dimension(spark, sf_dir)[1], -1, 1)
+
+
 @query
 def scd2_late_rebuild(spark, sf_dir):
     """Every snapshot of a 15th arrives after all others."""

@@ -1,31 +1,39 @@
-"""Incremental station dimension fed by a stream of observations.
+"""Incremental station dimension fed by a stream of observations, copy on write.
 
-Each micro-batch (``foreachBatch``) stores its snapshots under
-``<root>/snapshots/batch=<id>`` and applies them in one job: snapshots later than
-the high-water mark by ``scd2.apply_range``; keys with a snapshot at or before
-it (a date split over two files, late files) are rebuilt from all their
-stored snapshots. Versions of the dimension are folders ``<root>/v-<batch_id>``;
-a small Parquet log records every committed batch, ``<log>-dates`` what each
-date opened and closed, and the current dimension is the version named by the
-last log entry.
+The dimension is kept in ``buckets`` key-hash buckets. A version is a manifest: for each
+bucket the folder that holds its rows. A micro-batch (``foreachBatch``) stores its
+snapshots under ``<root>/snapshots/batch=<id>/bucket=<b>``, reads and rewrites only the
+buckets its keys fall into (``<root>/data/batch=<id>/bucket=<b>``) and writes a manifest
+that names those folders and, for all other buckets, the folders of the version before.
+
+Snapshots later than the high-water mark are applied by ``scd2.apply_later``; only when
+a batch holds an earlier one (a date split over two files, late files) the keys
+concerned are rebuilt, from the stored snapshots of the touched buckets. The log holds a
+row for each committed batch with its manifest, ``<log>-dates`` what each date opened
+and closed; every logged version stays readable (``version``), and two of them are
+compared by reading only the buckets whose folders differ (``difference``).
 
 Failure model: a batch replayed after a crash either finds its id in the log
-(skipped: no double apply) or recomputes the same folders from the same
-previous version (deterministic overwrite) and then logs it.
+(skipped: no double apply) or recomputes the same folders from the same previous
+manifest (deterministic overwrite) and then logs it.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricegrid.operators import scd2
 from pricegrid.sources import tables
 
 LOG_SCHEMA = ("batch_id bigint, version_path string, high_water date, snapshots bigint, "
-              "versions bigint")
+              "versions bigint, buckets int, buckets_written int, columns string")
+MANIFEST = "bucket int, folder string, versions bigint"
+BUCKETS = 64  # set it so that a bucket of the largest dimension fits a task
 
 
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
@@ -33,16 +41,94 @@ def read_log(spark: SparkSession, log_path: str) -> DataFrame:
     return spark.createDataFrame([], LOG_SCHEMA) if log is None else log
 
 
+def _entry(spark: SparkSession, log_path: str, batch_id: int | None = None) -> Row | None:
+    """The log row of the last batch, or of the last up to ``batch_id``."""
+    log = read_log(spark, log_path)
+    if batch_id is not None:
+        log = log.where(F.col("batch_id") <= batch_id)
+    return log.orderBy(F.desc("batch_id")).first()
+
+
+def _manifest(spark: SparkSession, entry: Row) -> dict[int, Row]:
+    """At most one row for each bucket."""
+    return {r["bucket"]: r for r in spark.read.schema(MANIFEST).parquet(entry["version_path"]).collect()}
+
+
+def _rows(spark: SparkSession, entry: Row, folders: Sequence[str]) -> DataFrame:
+    columns = T.StructType.fromJson(json.loads(entry["columns"]))
+    if not folders:
+        return spark.createDataFrame([], columns)
+    # the folders are read as they are named, not searched for partitions
+    return spark.read.schema(columns).option("recursiveFileLookup", "true").parquet(*folders)
+
+
 def current(spark: SparkSession, root: str, log_path: str):
     """(dimension DataFrame or None, high-water date or None, last batch id)."""
-    last = read_log(spark, log_path).orderBy(F.desc("batch_id")).first()
+    last = _entry(spark, log_path)
     if last is None:
         return None, None, -1
-    return spark.read.parquet(last.version_path), last.high_water, last.batch_id
-
-
-def _stored(root: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/snapshots/batch={batch_id}"
+    return _rows(spark, last, [r["folder"] for r in _manifest(spark, last).values()]), last.high_water, last.batch_id
+
+
+def version(spark: SparkSession, log_path: str, batch_id: int) -> DataFrame:
+    """The dimension as it was after ``batch_id`` (the last logged batch up to it)."""
+    entry = _entry(spark, log_path, batch_id)
+    if entry is None:
+        raise ValueError(f"no version is logged up to batch {batch_id}")
+    return _rows(spark, entry, [r["folder"] for r in _manifest(spark, entry).values()])
+
+
+def difference(spark: SparkSession, log_path: str, earlier: int, later: int) -> DataFrame:
+    """What changed from one logged version to another: station_key, reseller_cnpj,
+    valid_from, change (opened, closed, changed or dropped) and valid_to before and after.
+    Buckets that both manifests take from the same folder are not read."""
+    entries = [_entry(spark, log_path, b) for b in (earlier, later)]
+    if None in entries:
+        raise ValueError(f"no version is logged up to batch {min(earlier, later)}")
+    held = [{r["folder"] for r in _manifest(spark, e).values()} for e in entries]
+    before, after = (_rows(spark, e, sorted(mine - other)) for e, mine, other in zip(entries, held, held[::-1]))
+    state = F.struct("valid_to", "attribute_hash", "is_current")
+    sides = [rows.select("station_key", F.col(scd2.KEY).alias(f"{x}_key"), F.col("valid_from").alias(f"{x}_from"), state.alias(x))
+             for x, rows in (("was", before), ("now", after))]
+    change = (F.when(F.col("was").isNull(), "opened").when(F.col("now").isNull(), "dropped")
+              .when(F.col("was.is_current") & ~F.col("now.is_current"), "closed").otherwise("changed"))
+    return (sides[0].join(sides[1], "station_key", "full").where(~F.col("was").eqNullSafe(F.col("now")))
+            .select("station_key", F.coalesce("now_key", "was_key").alias(scd2.KEY), F.coalesce("now_from", "was_from").alias("valid_from"),
+                    change.alias("change"), F.col("was.valid_to").alias("valid_to_before"), F.col("now.valid_to").alias("valid_to_after")))
+
+
+def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
+    return rows.withColumn("bucket", F.pmod(F.xxhash64(scd2.KEY), F.lit(buckets)).cast("int"))
+
+
+def _write(rows: DataFrame, path: str, buckets: int) -> None:
+    """One file for each bucket, in a folder of its own."""
+    (_bucketed(rows, buckets).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path))
+
+
+def _commit(spark: SparkSession, root: str, log_path: str, batch_id: int, kept: dict[int, Row], columns: T.StructType, buckets: int,
+            high_water: Column, snapshots: DataFrame) -> DataFrame:
+    """Writes the manifest and the log entry of data already written; the rows written."""
+    folder = f"{root.rstrip('/')}/data/batch={batch_id}"
+    entry = Row(columns=columns.json())
+    held = _files(spark, folder)
+    written = _rows(spark, entry, [f"{folder}/bucket={b}" for b in held])
+    counts = {r["bucket"]: r["n"] for r in _bucketed(written, buckets).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = [tuple(r) for b, r in kept.items()] + [(b, f"{folder}/bucket={b}", counts[b]) for b in held]
+    path = f"{root.rstrip('/')}/manifest/batch={batch_id}"
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("overwrite").parquet(path)
+    stats = snapshots.agg(F.max(scd2.DATE).alias("last"), F.count(F.lit(1)).alias("snapshots"))
+    values = {"batch_id": F.lit(batch_id).cast("bigint"), "version_path": F.lit(path), "high_water": F.greatest("last", high_water),
+              "snapshots": F.col("snapshots"), "versions": F.lit(sum(r[2] for r in rows)).cast("bigint"), "buckets": F.lit(buckets),
+              "buckets_written": F.lit(len(held)), "columns": F.lit(columns.json())}
+    stats.select(*(v.alias(k) for k, v in values.items())).write.mode("append").parquet(log_path)
+    return written
+
+
+def _files(spark: SparkSession, folder: str) -> list[int]:
+    """The buckets that a batch has written (at most one row for each)."""
+    number = F.regexp_extract("path", r"/bucket=([0-9]+)/", 1).cast("int").alias("bucket")
+    return sorted(r["bucket"] for r in tables.files(spark, folder).select(number).distinct().collect())
 
 
 def applied(dim: DataFrame, snaps: DataFrame, history: DataFrame, attrs: Sequence[str],
@@ -57,38 +143,45 @@ def applied(dim: DataFrame, snaps: DataFrame, history: DataFrame, attrs: Sequenc
 
 
 def start(spark: SparkSession, observations: DataFrame, attrs: Sequence[str], root: str,
-          log_path: str, checkpoint: str, canonical=None, available_now: bool = True):
+          log_path: str, checkpoint: str, canonical=None, available_now: bool = True, buckets: int = BUCKETS):
     """Start the stream; ``observations`` is a streaming DataFrame of clean
     observation rows, ``canonical`` an optional function applied per batch
-    (label aliasing) before snapshots are taken."""
+    (label aliasing) before snapshots are taken. ``buckets`` counts for a new dimension."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        log = read_log(s, log_path)
-        if log.where(F.col("batch_id") == batch_id).limit(1).count():
+        if read_log(s, log_path).where(F.col("batch_id") == batch_id).limit(1).count():
             return  # already committed: replay is a no-op
-        dim, hw, _ = current(s, root, log_path)
+        last = _entry(s, log_path)
+        n = buckets if last is None else last["buckets"]
         obs = canonical(batch) if canonical else batch
-        scd2.snapshots(obs, attrs).write.mode("overwrite").parquet(_stored(root, batch_id))
-        snaps = s.read.parquet(_stored(root, batch_id))
-        if dim is None:
-            new = scd2.build(snaps, attrs)
+        stored = f"{root.rstrip('/')}/snapshots"
+        taken = scd2.snapshots(obs, attrs)
+        _write(taken, f"{stored}/batch={batch_id}", n)
+        touched = _files(s, f"{stored}/batch={batch_id}")
+        if not touched:
+            return  # no observations
+        history = s.read.schema(T.StructType([*taken.schema, *T.StructType.fromDDL("batch long, bucket int")])).parquet(stored)
+        snaps = history.where(F.col("batch") == batch_id).drop("batch", "bucket")
+        manifest = {} if last is None else _manifest(s, last)
+        high_water = None if last is None else last["high_water"]
+        if last is None:
+            new, old = scd2.build(snaps, attrs), None
         else:
-            history = (s.read.parquet(f"{root.rstrip('/')}/snapshots")
-                       .where(F.col("batch") <= batch_id).drop("batch"))
-            new = applied(dim, snaps, history, attrs, hw)
-        path = f"{root.rstrip('/')}/v-{batch_id}"
-        new.write.mode("overwrite").parquet(path)
-        written = s.read.parquet(path)
-        before = written.limit(0) if dim is None else dim
+            old = _rows(s, last, [manifest[b]["folder"] for b in touched if b in manifest])
+            first = snaps.agg(F.min(scd2.DATE)).first()[0]
+            if high_water is None or first > high_water:
+                new = scd2.apply_later(old, snaps, attrs)
+            else:
+                seen = history.where(F.col("bucket").isin(touched) & (F.col("batch") <= batch_id)).drop("batch", "bucket")
+                new = applied(old, snaps, seen, attrs, high_water)
+        _write(new, f"{root.rstrip('/')}/data/batch={batch_id}", n)
+        before = new.limit(0) if old is None else old
+        written = _rows(s, Row(columns=new.schema.json()), [f"{root.rstrip('/')}/data/batch={batch_id}"])
         (scd2.batch_log(before, written, snaps)
          .write.mode("overwrite").parquet(f"{log_path.rstrip('/')}-dates/batch={batch_id}"))
-        stats = snaps.agg(F.max("collection_date").alias("last"), F.count(F.lit(1)).alias("snapshots"))
-        entry = stats.select(F.lit(batch_id).cast("bigint").alias("batch_id"),
-                             F.lit(path).alias("version_path"),
-                             F.greatest("last", F.lit(hw).cast("date")).alias("high_water"),
-                             "snapshots", F.lit(written.count()).cast("bigint").alias("versions"))
-        entry.write.mode("append").parquet(log_path)
+        kept = {b: r for b, r in manifest.items() if b not in touched}
+        _commit(s, root, log_path, batch_id, kept, new.schema, n, F.lit(high_water).cast("date"), snaps)
 
     w = (observations.writeStream.foreachBatch(apply)
          .option("checkpointLocation", checkpoint))
@@ -97,18 +190,12 @@ def start(spark: SparkSession, observations: DataFrame, attrs: Sequence[str], ro
 
 
 def seed(spark: SparkSession, dim: DataFrame, snapshots: DataFrame, high_water, root: str,
-         log_path: str, batch_id: int = -1) -> str:
+         log_path: str, batch_id: int = -1, buckets: int = BUCKETS) -> str:
     """Commit an existing dimension (e.g. a one-shot build of the history) as
     the starting version, with the snapshots it was built from and the last
-    date it covers as high-water mark."""
-    path = f"{root.rstrip('/')}/v-seed"
-    dim.write.mode("overwrite").parquet(path)
-    snapshots.write.mode("overwrite").parquet(_stored(root, batch_id))
-    n = spark.read.parquet(path).count()
+    date it covers as high-water mark. Returns its manifest."""
+    _write(snapshots, f"{root.rstrip('/')}/snapshots/batch={batch_id}", buckets)
+    _write(dim, f"{root.rstrip('/')}/data/batch={batch_id}", buckets)
     hw = high_water if isinstance(high_water, Column) else F.lit(high_water).cast("date")
-    (spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"),
-                           F.lit(path).alias("version_path"), hw.alias("high_water"),
-                           F.lit(0).cast("bigint").alias("snapshots"),
-                           F.lit(n).cast("bigint").alias("versions"))
-     .write.mode("append").parquet(log_path))
-    return path
+    _commit(spark, root, log_path, batch_id, {}, dim.schema, buckets, hw, snapshots.limit(0))
+    return f"{root.rstrip('/')}/manifest/batch={batch_id}"

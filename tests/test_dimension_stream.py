@@ -74,3 +74,43 @@ def test_a_broken_log_is_not_taken_for_a_missing_one(spark, scratch):
     with pytest.raises(Exception, match="(?i)schema"):
         DS.read_log(spark, log)
     assert DS.read_log(spark, scratch("none")).count() == 0
+
+
+def _batches(spark, scratch, batches, buckets=8):
+    """A seeded dimension and one micro-batch for each list of rows; (root, log)."""
+    root, log, ckpt, feed = scratch("dim"), scratch("log"), scratch("ckpt"), scratch("feed")
+    hist = spark.createDataFrame([(f"k{i}", dt.date(2024, 1, 1), "P", "A") for i in range(40)], SCHEMA)
+    DS.seed(spark, scd2.build(scd2.snapshots(hist, ATTRS), ATTRS), scd2.snapshots(hist, ATTRS), dt.date(2024, 1, 1), root, log, buckets=buckets)
+    for part in batches:
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(feed)
+        DS.start(spark, spark.readStream.schema(SCHEMA).parquet(feed), ATTRS, root, log, ckpt).awaitTermination()
+    return root, log
+
+
+def test_a_batch_of_one_key_rewrites_one_bucket(spark, scratch):
+    import glob
+    day = dt.date(2024, 1, 2)
+    root, log = _batches(spark, scratch, [[("k3", day, "P", "B")], [("k3", day, "P", "C")], [("new", day, "P", "B")]])
+    entries = {e.batch_id: e for e in DS.read_log(spark, log).collect()}
+    assert [entries[i].buckets_written for i in (-1, 0, 1, 2)] == [8, 1, 1, 1]
+    for i in (0, 1, 2):
+        assert len(glob.glob(f"{root}/data/batch={i}/*/*.parquet")) == 1
+        was, now = ({b: r["folder"] for b, r in DS._manifest(spark, entries[j]).items()} for j in (i - 1, i))
+        assert sum(was[b] != now[b] for b in now) == 1 and len(now) == 8
+    assert [entries[i].versions for i in (-1, 0, 1, 2)] == [40, 41, 41, 42]  # the second batch is late: smaller hash wins
+
+
+def test_versions_and_their_difference_across_three_batches(spark, scratch):
+    day = lambda i: dt.date(2024, 1, i)
+    root, log = _batches(spark, scratch, [[("k1", day(2), "P", "B"), ("k2", day(2), "P", "A")], [("k1", day(3), "P", "B")],
+                                          [("k1", day(4), "P", "A"), ("n", day(4), "P", "A")]])
+    assert [DS.version(spark, log, i).count() for i in (-1, 0, 1, 2, 9)] == [40, 41, 41, 43, 43]
+    changes = lambda a, b: sorted((r.reseller_cnpj, str(r.valid_from), r.change, str(r.valid_to_before), str(r.valid_to_after))
+                                  for r in DS.difference(spark, log, a, b).collect())
+    end = "9999-12-31"
+    assert changes(-1, 0) == [("k1", "2024-01-01", "closed", end, "2024-01-02"), ("k1", "2024-01-02", "opened", "None", end)]
+    assert changes(0, 1) == []
+    assert changes(-1, 2) == [("k1", "2024-01-01", "closed", end, "2024-01-02"), ("k1", "2024-01-02", "opened", "None", "2024-01-04"),
+                              ("k1", "2024-01-04", "opened", "None", end), ("n", "2024-01-04", "opened", "None", end)]
+    with pytest.raises(ValueError, match="no version"):
+        DS.version(spark, log, -2)

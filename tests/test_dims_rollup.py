@@ -94,3 +94,16 @@ def test_large_groups_go_by_counts_and_give_the_same(spark, monkeypatch):
             r.observations, r.stations, round(r.p10_price, 9), round(r.median_price, 9), round(r.p90_price, 9),
             float(r.min_price), float(r.max_price), round(r.avg_price, 9)) for r in rollup.weekly_raw_keys(fact, dim).collect()}
         assert got == want
+
+
+def test_checksums_join_only_buckets_that_differ(spark):
+    a = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 7).cast("string").alias("g"), (F.col("id") / 3).alias("x"))
+    b = a.withColumn("x", F.when(F.col("k") == 77, F.col("x") + 1).otherwise(F.col("x"))).where("k <> 4000")
+    left, right, equal = compare.differing(a, b, ["k", "g"], ["x"])
+    assert 0 < left.count() <= 20 and right.count() == left.count() - 1 and equal + left.count() == 5000
+    assert compare.values_by_checksum(a, b, ["k", "g"], ["x"]).first() == compare.values(a, b, ["k", "g"], ["x"]).first()
+    assert compare.missing_keys_by_checksum(a, b, ["k", "g"]).first() == compare.missing_keys(a, b, ["k", "g"]).first()
+    same = compare.values_by_checksum(a, a, ["k", "g"], ["x"]).first()
+    assert (same.compared_groups, same.divergent_groups, same.max_diff_x) == (5000, 0, 0.0)
+    none = a.limit(0)
+    assert compare.values_by_checksum(a, none, ["k", "g"], ["x"]).first() == compare.values(a, none, ["k", "g"], ["x"]).first()

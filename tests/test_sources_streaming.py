@@ -327,3 +327,58 @@ def test_the_archive_is_hashed_while_its_members_pass(tmp_path):
                         pass
             assert hashed.hexdigest() == hashlib.sha256(path.read_bytes()).hexdigest()
     assert Counted.passed < path.stat().st_size * 2
+
+
+def test_packing_rewrites_small_files_only(spark, scratch):
+    path, root = scratch("mixed"), scratch("tables")
+    spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x")).repartition(2).write.parquet(path)
+    spark.range(20_000, 21_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x")).repartition(15).write.mode("append").parquet(path)
+    before = {r.path: r.length for r in tables.files(spark, path).collect()}
+    large = {p for p, n in before.items() if n > 100_000}
+    small = sum(n for p, n in before.items() if p not in large)
+    manifest, rewritten = tables.pack_small(spark, path, root, "t", target_bytes=small // 3, small_bytes=100_000)
+    after = {r.path for r in spark.read.parquet(manifest).collect()}
+    assert large <= after and 0 < rewritten <= small and 3 <= len(after - set(before)) <= 5
+    assert tables.read_manifest(spark, manifest).agg(F.count("id"), F.sum("id")).first() == (21_000, 20_999 * 10_500)
+    again, more = tables.pack_small(spark, path, root, "t", target_bytes=1, small_bytes=100_000)  # every bin is one file
+    assert more == 0 and {r.path for r in spark.read.parquet(again).collect()} == set(before)
+
+
+def test_bins_are_numbered_without_gaps_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(tables, "LISTED", 7)
+    listing = spark.createDataFrame([(f"f{i:03d}", 10 + i % 5) for i in range(60)], "path string, length long")
+    rows = tables.bins(listing, 40).collect()
+    assert len(rows) == 60 and {r.bin for r in rows} == set(range(max(r.bin for r in rows) + 1))
+    sizes = {}
+    for r in rows:
+        sizes[r.bin] = sizes.get(r.bin, 0) + r.length
+    assert max(sizes.values()) < 40 + 15
+
+
+def test_sweep_finds_overlapping_files(spark):
+    import random
+    rng = random.Random(5)
+    for step in (1, 3, 9):
+        spans = [(f"f{i}", a, a + rng.choice([0, 1, 2, step])) for i, a in enumerate(rng.randrange(0, 60) for _ in range(25))]
+        spans += [("n", None, None)]
+        ranges = spark.createDataFrame(spans, "file string, lo int, hi int")
+        order = sorted((lo, hi, f) for f, lo, hi in spans if lo is not None)
+        want = {f for i, (lo, _, f) in enumerate(order) if any(lo < hi for _, hi, _ in order[:i])}
+        found = tables.overlapping_files(ranges)
+        assert {r.file for r in found.collect()} == want
+        p = found._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in p and "Cartesian" not in p
+
+
+def test_interleaved_clustering_serves_both_columns(spark, scratch):
+    root = scratch("tables")
+    df = spark.range(20_000).select((F.xxhash64("id") % 1000).alias("a"), F.sha2((F.col("id") % 40).cast("string"), 256).alias("b"),
+                                    F.when(F.col("id") % 50 != 0, F.col("id")).alias("c"))
+    src = tables.replace(df.repartition(4), root, "t")
+    size = tables.layout_stats(spark, src).first().size_bytes // 16 + 1
+    sorted_, z = (f(spark, src, ["a", "b"], root, "t", size) for f in (tables.cluster, tables.cluster_interleaved))
+    share = {(k, c): tables.share_met(spark, p, c).first().share for k, p in (("s", sorted_), ("z", z)) for c in "ab"}
+    assert share["s", "a"] < 0.2 and share["s", "b"] > 0.9  # a filter on the second column alone opens everything
+    assert share["z", "a"] < 0.5 and share["z", "b"] < 0.5
+    assert spark.read.parquet(z).exceptAll(df).count() == 0 and spark.read.parquet(z).count() == 20_000
+    assert spark.read.parquet(tables.cluster_interleaved(spark, src, ["c", "b"], root, "t", size)).where("c is null").count() == 400
