@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pricegrid import constants as K
 from pricegrid.operators import checks, clean, dedup, dims, facts, gold, labels, rollup, scd2
 from pricegrid.session import cut_lineage
+from pricegrid.sources import bronze as bronze_src
 from pricegrid.sources import landing as landing_src
 from pricegrid.sources import tables
 from pricegrid.streaming import bronze_stream
@@ -67,6 +68,10 @@ def run(spark: SparkSession, landing: str, out_root: str, aliases: DataFrame | N
     b.paths["price_raw"] = bronze_path
     bronze = bronze_stream.committed_rows(spark, bronze_path, bronze_checkpoint)
 
+    found = b.write("rescued", bronze_src.rescue_check(bronze)).first()
+    if found.unmatched_files:
+        raise checks.CheckFailed(f"no row fits the columns in {found.unmatched_files} files: {found}")
+
     # silver: rows are converted and judged once; typed rows and rejects read that
     judged = cut_lineage(clean.classify(clean.drop_blank(bronze)), "judged")
     silver = b.write("price_clean", clean.accepted(judged, carry=["ingested_at"]))

@@ -155,11 +155,32 @@ def null_probe(bronze: DataFrame, cols=("region", "product", "sale_price")) -> D
     return bronze.agg(F.count_if(pred).alias("rows_with_null"))
 
 
+def rescued(line, width: int = len(K.SOURCE_HEADER)):
+    """The fields of a malformed line beyond the last column, by position from 1, as a
+    map; null for a line that has none. A separator inside double quotes doesn't count."""
+    fields = F.split(line, r';(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    beyond = F.slice(fields, width + 1, F.greatest(F.size(fields) - width, F.lit(0)))
+    entries = F.transform(beyond, lambda field, i: F.struct((i + width + 1).alias("key"), field.alias("value")))
+    return F.when(F.size(fields) > width, F.map_from_entries(entries))
+
+
+def rescue_check(bronze: DataFrame) -> DataFrame:
+    """One row: files, malformed rows, distinct malformed lines, their ratio to the files
+    and the files of which no row fits the columns. Many distinct lines against few files,
+    or a file without a fitting row, means that columns were not matched."""
+    by_file = bronze.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"), F.count(MALFORMED).alias("malformed"))
+    files = by_file.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("malformed"), F.lit(0)).alias("malformed_rows"),
+                        F.count_if(F.col("rows") == F.col("malformed")).alias("unmatched_files"))
+    lines = bronze.select(MALFORMED).where(F.col(MALFORMED).isNotNull()).distinct().agg(F.count(F.lit(1))).scalar()
+    return files.select("files", "malformed_rows", "unmatched_files", lines.alias("distinct_malformed"),
+                        F.round(F.try_divide(lines, F.col("files")), 3).alias("distinct_per_file"))
+
+
 def malformed_profile(spark: SparkSession, path: str, header=K.SOURCE_HEADER,
                       pattern: str = r"(file-[0-9]+)") -> DataFrame:
     """Per file: rows, malformed rows (short or over-long, kept whole in the
-    corrupt-record column) and distinct malformed values. Many distinct
-    malformed values against few files means columns were not matched."""
+    corrupt-record column), distinct malformed values, and the fields beyond the last
+    column. Many distinct malformed values against few files means columns were not matched."""
     df = (spark.read.schema(source_schema(header, corrupt=True)).options(**CSV_OPTIONS)
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
           .csv(path))
@@ -168,9 +189,10 @@ def malformed_profile(spark: SparkSession, path: str, header=K.SOURCE_HEADER,
     # tokenise only the referenced ones and could not see a wrong field count
     # (and it refuses plans that read the corrupt column alone)
     data = [F.col(f"`{h}`") for h in header]
-    return (df.select(f, F.col(CORRUPT), F.coalesce(*data).isNull().alias("_blank"))
+    return (df.select(f, F.col(CORRUPT), F.coalesce(*data).isNull().alias("_blank"), F.size(rescued(F.col(CORRUPT))).alias("_extra"))
             .groupBy("csv_name")
             .agg(F.count(F.lit(1)).alias("row_count"),
                  F.count(CORRUPT).alias("malformed_rows"),
                  F.count_distinct(CORRUPT).alias("distinct_malformed"),
-                 F.count_if("_blank").alias("blank_rows")))
+                 F.count_if("_blank").alias("blank_rows"), F.count_if(F.col("_extra") > 0).alias("rows_with_extra_fields"),
+                 F.coalesce(F.sum("_extra"), F.lit(0)).alias("extra_fields")))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pricegrid import constants as K
 from pricegrid.operators import ops
+from pricegrid.session import cut_lineage
 from pricegrid.sources import bronze, landing, tables
 from pricegrid.streaming import bronze_stream
 
@@ -77,6 +78,7 @@ def test_malformed_rows_and_blank_lines(spark, scratch):
     assert prof.row_count == 4            # the empty line is skipped
     assert prof.malformed_rows == 2       # short and over-long rows
     assert prof.blank_rows == 1           # the ';;' row is a blank row
+    assert (prof.rows_with_extra_fields, prof.extra_fields) == (1, 2)
     table = scratch("bronze")
     bronze_stream.ingest(spark, land, table, scratch("ckpt"))
     streamed = spark.read.parquet(table)
@@ -382,3 +384,18 @@ def test_interleaved_clustering_serves_both_columns(spark, scratch):
     assert share["z", "a"] < 0.5 and share["z", "b"] < 0.5
     assert spark.read.parquet(z).exceptAll(df).count() == 0 and spark.read.parquet(z).count() == 20_000
     assert spark.read.parquet(tables.cluster_interleaved(spark, src, ["c", "b"], root, "t", size)).where("c is null").count() == 400
+
+
+def test_rescued_fields_by_position_and_unmatched_files(spark, scratch):
+    from pricegrid.operators import checks
+    from pricegrid.plans import medallion
+    land = scratch("land")
+    write(land, "a.csv", [HEADER, ROW, ROW + ';x;"y;z"', "short;row"])
+    b = cut_lineage(bronze.read_batch(spark, land))
+    maps = [r[0] for r in b.select(bronze.rescued(F.col(bronze.MALFORMED))).collect() if r[0]]
+    assert maps == [{17: "x", 18: '"y;z"'}]
+    assert bronze.rescue_check(b).first().asDict() == {"files": 1, "malformed_rows": 2, "unmatched_files": 0, "distinct_malformed": 2,
+                                                       "distinct_per_file": 2.0}
+    write(land, "b.csv", [HEADER, ROW + ";1", ROW + ";2"])
+    with pytest.raises(checks.CheckFailed, match="no row fits"):
+        medallion.run(spark, land, scratch("out"))
