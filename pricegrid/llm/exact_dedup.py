@@ -34,6 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricegrid.llm import words as W
 from pricegrid.session import cut_lineage
 
 BLOCK = 4096
@@ -155,10 +156,12 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns. Rows are matched
     by doc_id and text; of rows that repeat both, one stays."""
+    names = docs.columns
+    docs, doc_id, text = W.positional(docs, doc_id, text)
     stay = groups(docs, doc_id, text).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
     flat = F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), r"[ \t-\r]+", " ")
     rows = docs.withColumns({"_id": F.col(doc_id).cast("long"), "_sha": F.sha2(flat, 256)})
     one = F.row_number().over(Window.partitionBy("_id", "_sha").orderBy("_sha"))
     rows = rows.alias("r").join(stay.alias("s"), F.col("r._sha").eqNullSafe(F.col("s._sha"))
                                 & F.col("r._id").eqNullSafe(F.col("s._id")), "left_semi")
-    return rows.withColumn("_nth", one).where("_nth = 1").select(*docs.columns)
+    return rows.withColumn("_nth", one).where("_nth = 1").select(*docs.columns).toDF(*names)

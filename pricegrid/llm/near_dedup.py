@@ -343,6 +343,8 @@ def _dealt(spanning: DataFrame, fine: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 2, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns: one of each component.
     Rows are matched by doc_id and text; of rows that repeat both, one stays."""
+    names = docs.columns
+    docs, doc_id, text = W.positional(docs, doc_id, text)
     sha = F.unhex(F.sha2("_text", 256))
     found = _grouped(docs, doc_id, text, words, percent, sha)
     gone = cut_lineage(found.groupBy("doc_id", "sha").agg(F.bool_and("kept").alias("all"), F.bool_or("kept").alias("_one")).where("not all")
@@ -352,7 +354,7 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
     stay = docs.join(gone, same, "left_anti")
     repeated = gone.where("_one")
     if repeated.isEmpty():
-        return stay
+        return stay.toDF(*names)
     nth = F.row_number().over(Window.partitionBy("_gone", "_sha").orderBy("_sha"))
     one = docs.join(repeated, same).withColumn("_nth", nth).where("_nth = 1")
-    return stay.unionByName(one.select(*docs.columns))
+    return stay.unionByName(one.select(*docs.columns)).toDF(*names)

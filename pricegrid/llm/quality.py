@@ -7,12 +7,12 @@ word repeats its neighbour, and the word pair. Each is hashed into ``2**BITS``
 weights. The score is ``sigmoid(bias + x . w)`` with ``x`` the relative frequency
 of each feature, so long and short texts compare.
 
-Fitting takes at most ``MAX_ROWS`` labelled rows, the first by a hash of doc_id
-(a documented bound: 8,192 rows of at most ``2**BITS`` features each reach the
-driver, whatever the corpus). All candidates are featurised by Spark; only the
-sparse vectors of the bounded sample come to the driver, which makes ``EPOCHS``
-FTRL passes. The weights (4 MB) go to the executors as a closure and scoring is one
-narrow pass over whole texts.
+Fitting takes the first labelled rows by a hash of doc_id, at most ``MAX_ROWS`` of them
+and no more after ``MAX_BYTES`` of features (documented bounds, whatever the corpus).
+All candidates are featurised by Spark; the sparse vectors of the sample go, sorted by
+that hash, to one task, which holds them and makes ``EPOCHS`` FTRL passes. Only the
+weights (4 MB) come to the driver; they go to the executors as a closure and scoring is
+one narrow pass over whole texts.
 
 Edge cases: null or empty text has no features and scores sigmoid(bias); labels
 that are null or neither 0 nor 1 are ignored; of repeated labels of a document the
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pricegrid.llm import words as W
 
 BITS = 20
-MAX_ROWS = 8192
+MAX_ROWS, MAX_BYTES = 8192, 256 << 20
 EPOCHS = 3
 THRESHOLD = 0.3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.002, 0.01
@@ -105,7 +105,7 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, epoch
         share = (len(rows) / (2 * (len(rows) - ones)), len(rows) / (2 * ones))
         for _ in range(epochs):
             for index, value, label in rows:
-                i, x = np.append(index, 1 << bits), np.append(value, 1.0)
+                i, x = np.append(index, 1 << bits), np.append(value.astype(float), 1.0)
                 w = weight(i)
                 p = 1.0 / (1.0 + np.exp(-np.clip(w @ x, -30, 30)))
                 g = (p - label) * x * share[label]
@@ -136,8 +136,23 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _fitted(bits: int, epochs: int, max_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The sample's rows, in order, to one row of weights and bias."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
+        for batch in batches:
+            for label, index, value in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                if held < max_bytes:
+                    rows.append((np.frombuffer(index.as_py(), np.int32), np.frombuffer(value.as_py(), np.float32), label))
+                    held += rows[-1][0].nbytes + rows[-1][1].nbytes
+        if rows:
+            model = ftrl(rows, bits, epochs)
+            yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias])], ["weights", "bias"])
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text",
-        max_rows: int = MAX_ROWS, bits: int = BITS, epochs: int = EPOCHS) -> Model:
+        max_rows: int = MAX_ROWS, bits: int = BITS, epochs: int = EPOCHS, max_bytes: int = MAX_BYTES) -> Model:
     """A model from at most ``max_rows`` labelled rows that aren't held out."""
     known = (labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull() & ~held_out(doc_id))
              .groupBy(F.col(doc_id).cast("long").alias("_id")).agg(F.min(label).cast("int").alias("_label")))
@@ -147,10 +162,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str
     found = (rows.join(F.broadcast(chosen), "_id")  # max_rows rows of 12 bytes
              .select("_id", "_label", "_text")
              .mapInArrow(_sparse(bits), "doc_id long, label int, index binary, value binary")
-             .dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id", F.lit(8)), "doc_id").limit(max_rows)
-             .collect())
-    sample = [(np.frombuffer(r["index"], np.int32), np.frombuffer(r["value"], np.float32).astype(float), r["label"]) for r in found]
-    return ftrl(sample, bits, epochs)
+             .dropDuplicates(["doc_id"]).repartition(1).sortWithinPartitions(F.xxhash64("doc_id", F.lit(8)), "doc_id")
+             .mapInArrow(_fitted(bits, epochs, max_bytes), "weights binary, bias double").first())
+    if found is None:
+        return ftrl([], bits, epochs)
+    return Model(np.frombuffer(found["weights"], np.float32), found["bias"])
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
@@ -173,4 +189,6 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
 def accepted(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the model doesn't reject, with their own columns."""
-    return score(docs, model, doc_id, text, threshold, keep=docs.columns).where("_predicted = 1").select(*docs.columns)
+    plain, doc_id, text = W.positional(docs, doc_id, text)
+    kept = score(plain, model, doc_id, text, threshold, keep=plain.columns).where("_predicted = 1")
+    return kept.select(*plain.columns).toDF(*docs.columns)

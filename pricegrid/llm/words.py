@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
@@ -15,6 +15,13 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
+def positional(docs: DataFrame, *names: str) -> tuple:
+    """``docs`` with its columns named by their place (c0, c1, ...), which clashes with no
+    inner name, and the new names of ``names``."""
+    placed = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*placed), *(placed[docs.columns.index(n)] for n in names)
+
+
 def split(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of all texts, dictionary-encoded, and the
     offsets of each text's words. Null is empty; ``lower`` maps A-Z only."""

@@ -126,3 +126,18 @@ def test_components_against_brute_force(spark):
     found = {r.id: r.comp for r in graph.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert found == {x: r for x, r in root.items() if x not in alone}
     assert graph.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_columns_named_like_inner_ones_stay(docs, writing):
+    from pyspark.sql import functions as F
+
+    from pricegrid.llm import exact_dedup, quality
+    text = writing(60, 1)
+    df = docs([(1, text), (2, text + " x"), (3, writing(50, 2)), (2, text + " x")]).select(
+        "*", *(F.lit(i).alias(c) for i, c in enumerate(["_sha", "_gone", "_one", "_nth", "_id", "_score", "c0", "cid", "mark", "row"])))
+    want = {c: i for i, c in enumerate(["_sha", "_gone", "_one", "_nth", "_id", "_score", "c0", "cid", "mark", "row"])}
+    model = quality.ftrl([], 8)
+    for out, ids in ((X.deduplicate(df), [1, 3]), (exact_dedup.deduplicate(df), [1, 2, 3]), (quality.accepted(df, model), [1, 2, 2, 3])):
+        rows = out.collect()
+        assert out.columns == df.columns and sorted(r.doc_id for r in rows) == ids
+        assert all(r[c] == i for r in rows for c, i in want.items())

@@ -83,3 +83,9 @@ def test_edge_cases(docs, labelled):
     assert X.accepted(df, none).columns == df.columns and X.accepted(df, none).count() == 2
     long = X.score(docs([(1, "word " * 200_000)]), none).first()
     assert long._predicted == 1
+
+
+def test_the_sample_is_bounded_in_bytes(docs, labelled, writing):
+    rows, labels = corpus(writing, 100)
+    one = X.fit(docs(rows), labelled(labels), max_bytes=1)  # one row: one class, nothing to learn
+    assert not one.weights.any() and X.fit(docs(rows), labelled(labels), max_bytes=1 << 30).weights.any()
