@@ -13,17 +13,16 @@ Links are always confirmed on the full sets. Equal sets are one class from the
 start, so copies are never expanded. Within a key the pairs are not enumerated:
 
 1. each class is compared with the smallest class that it meets most often;
-2. in buckets that still span components, each class is compared with the nearest
-   one of another component, by a finer signature (``QUICK`` of ``FINE`` MinHash values
-   of one bit, made for these classes alone), for ``ROUNDS`` rounds or until one links
-   under a hundredth;
-3. in buckets that span components even then, all pairs of different components are
-   looked at in blocks of ``BLOCK_ROWS``, and those that could be links are
-   confirmed: all but those whose ``FINE`` bits lie ``SIGMAS`` standard deviations
-   further apart than the least similarity leaves (fewer than one linked pair in
-   10**6 does, and it must be the only link between two components). Of buckets with the same
-   members one is compared, and a pair is taken in the lowest key it shares, so each
-   pair comes out once.
+2. in buckets that still span components, pairs of different components are compared
+   by a finer signature (``FINE`` MinHash values of one bit, made for these classes
+   alone) inside blocks of about ``BLOCK_ROWS`` rows and ``BLOCK_BYTES`` of sets a side.
+   A first pass, without the sets, finds the rows of a block that any pair needs; a
+   second one, with the sets of these rows, confirms the pairs and gives out only links
+   that join two components, so fewer than a block has rows. Left out are pairs whose
+   ``FINE`` bits lie ``sigmas`` standard deviations further apart than the least
+   similarity leaves (fewer than one linked pair in 10**6 at 5, and it must be the only
+   link between two components; None leaves out none). Of buckets with the same
+   members one is compared, and a pair is taken in the lowest key it shares.
 
 Whatever is left unconfirmed lies inside one component or is too far apart, so
 components equal those of the full graph.
@@ -49,9 +48,8 @@ from pricegrid.llm.graph import components
 from pricegrid.session import cut_lineage
 
 CHUNKS, WIDTH = 14, 5
-FINE, QUICK, SIGMAS = 4096, 1024, 5
-BLOCK_ROWS = 8192
-ROUNDS = 6
+FINE, SIGMAS = 4096, 5
+BLOCK_ROWS, BLOCK_BYTES = 8192, 16 << 20
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -93,18 +91,19 @@ def signature(s: np.ndarray) -> np.ndarray:
 
 
 def _fine(batches: Batches) -> Batches:
-    """(cid, set) to (cid, bits): FINE MinHash values of one bit."""
+    """(cid, set) to (cid, bits, n): FINE MinHash values of one bit, and the set's size."""
     rng = np.random.default_rng(99)
     multiply, add = (rng.integers(0, 1 << 32, FINE, dtype=np.uint32) for _ in range(2))
     multiply |= np.uint32(1)
     for batch in batches:
-        bits = []
+        bits, n = [], []
         for s in batch.column(1):
+            n.append(len(s.as_buffer()) // 8)
             x = (np.frombuffer(s.as_buffer(), np.uint64) >> np.uint64(32)).astype(np.uint32)[:, None]
             lowest = np.min([(x[i:i + 256] * multiply + add).min(axis=0) for i in range(0, len(x), 256)], axis=0)
             bits.append(np.packbits(lowest * np.uint32(0x9E3779B1) >> np.uint32(31)).tobytes())
         if bits:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], ["cid", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary()), pa.array(n, pa.int64())], ["cid", "bits", "n"])
 
 
 def _signatures(n: int) -> Callable[[Batches], Batches]:
@@ -159,23 +158,24 @@ def _sets(n: int) -> Callable[[Batches], Batches]:
     return run
 
 
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def _linked(percent: int) -> Callable[[Batches], Batches]:
     """(u, v, set_u, set_v) to (u, v, linked), on the full sets."""
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            yes = []
-            for a, b in zip(batch.column(2), batch.column(3)):
-                a, b = (np.frombuffer(x.as_py(), np.uint64) for x in (a, b))
-                if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)):
-                    yes.append(False)
-                    continue
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                yes.append(100 * both >= percent * (len(a) + len(b) - both))
+            yes = [_similar(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64), percent)
+                   for a, b in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(yes, pa.bool_())], ["u", "v", "linked"])
     return run
 
 
-def _blocks(compare: Callable[[pa.RecordBatch, int], pa.RecordBatch | None], percent: int) -> Callable[[Batches], Batches]:
+def _blocks(compare: Callable[..., pa.RecordBatch | None], *options) -> Callable[[Batches], Batches]:
     """Rows sorted by block (first column) to compare's result of each block."""
     def run(batches: Batches) -> Batches:
         held: list[pa.RecordBatch] = []
@@ -187,53 +187,67 @@ def _blocks(compare: Callable[[pa.RecordBatch, int], pa.RecordBatch | None], per
                 if a == b:
                     continue
                 if held and blocks[a] != last:
-                    if found := compare(pa.concat_batches(held), percent):
+                    if found := compare(pa.concat_batches(held), *options):
                         yield found
                     held = []
                 held.append(batch.slice(a, b - a))
                 last = blocks[a]
-        if held and (found := compare(pa.concat_batches(held), percent)):
+        if held and (found := compare(pa.concat_batches(held), *options)):
             yield found
     return run
 
 
-def _most_apart(bits: int, percent: int) -> float:
-    """Bits apart that a pair of similarity ``percent`` doesn't exceed: SIGMAS above the mean."""
+def _most_apart(bits: int, percent: int, sigmas: float | None) -> float:
+    """Bits apart that a pair of similarity ``percent`` doesn't exceed: ``sigmas`` above the mean."""
     p = (100 - percent) / 200
-    return bits * p + SIGMAS * (bits * p * (1 - p)) ** 0.5
-
-
-def _others(rows: pa.RecordBatch, percent: int):
-    """For each row of a block its index, the rows of other components that it may be
-    compared with, and their bits apart. Sides 0 and 1 are compared across, 2 among
-    themselves. Rows: block, key, side, cid, comp, bits."""
-    side, cid, comp = (rows.column(i).to_numpy() for i in (2, 3, 4))
-    bits = np.frombuffer(b"".join(rows.column(5).to_pylist()), np.uint64).reshape(len(cid), -1)
-    most = _most_apart(64 * bits.shape[1], percent)
-    for i in range(len(cid)):
-        j = np.flatnonzero((comp != comp[i]) & ((side != side[i]) | (side[i] == 2)))
-        apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-        near = apart <= most
-        yield i, j[near], apart[near]
-
-
-def _nearest(rows: pa.RecordBatch, percent: int) -> pa.RecordBatch | None:
-    """(u, v, apart): each row's nearest of another component."""
-    cid = rows.column(3).to_numpy()
-    best = [(cid[i], cid[j[k]], apart[k]) for i, j, apart in _others(rows, percent) if len(j) for k in [np.lexsort((cid[j], apart))[0]]]
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*best)], ["u", "v", "apart"]) if best else None
-
-
-def _apart(rows: pa.RecordBatch, percent: int) -> pa.RecordBatch | None:
-    """(u, v): pairs of different components that share no key below the block's."""
-    key, cid = rows.column(1)[0].as_py(), rows.column(3).to_numpy()
-    keys, us, vs = _key_matrix(_matrix(rows.column(6))), [], []
-    for i, j, _ in _others(rows, percent):
-        j = j[j > i]
-        j = j[~((keys[j] == keys[i]) & (keys[i] < key)).any(axis=1)]
-        us.append(np.maximum(cid[j], cid[i]))
-        vs.append(np.minimum(cid[j], cid[i]))
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
+    return bits if sigmas is None else bits * p + sigmas * (bits * p * (1 - p)) ** 0.5
+
+
+def _pairs(rows: pa.RecordBatch, percent: int, sigmas: float | None):
+    """For each row of a block its index and the later rows of other components that it
+    may be linked with and shares no key with below the block's. Sides 0 and 1 are
+    compared across, 2 among themselves. Rows: block, key, side, cid, comp, bits, n, sig."""
+    side, comp, n = (rows.column(i).to_numpy() for i in (2, 4, 6))
+    key, keys = rows.column(1)[0].as_py(), _key_matrix(_matrix(rows.column(7)))
+    bits = np.frombuffer(b"".join(rows.column(5).to_pylist()), np.uint64).reshape(len(n), -1)
+    most = _most_apart(64 * bits.shape[1], percent, sigmas)
+    for i in range(len(n) - 1):
+        later = slice(i + 1, None)
+        j = i + 1 + np.flatnonzero((comp[later] != comp[i]) & ((side[later] != side[i]) | (side[i] == 2))
+                                   & (100 * np.minimum(n[later], n[i]) >= percent * np.maximum(n[later], n[i])))
+        j = j[np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64) <= most]
+        yield i, j[~((keys[j] == keys[i]) & (keys[i] < key)).any(axis=1)]
+
+
+def _needed(rows: pa.RecordBatch, percent: int, sigmas: float | None) -> pa.RecordBatch | None:
+    """block, key, side, cid and comp of the rows that a pair needs."""
+    needed = np.zeros(rows.num_rows, bool)
+    for i, j in _pairs(rows, percent, sigmas):
+        needed[j] = True
+        needed[i] |= len(j) > 0
+    return rows.select(range(5)).filter(pa.array(needed)) if needed.any() else None
+
+
+def _joining(rows: pa.RecordBatch, percent: int, sigmas: float | None) -> pa.RecordBatch | None:
+    """(u, v) of confirmed links, each of which joins two components that none before
+    it in the block did. Rows as of ``_pairs``, then set."""
+    cid, comp = rows.column(3).to_numpy(), rows.column(4).to_pylist()
+    sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in rows.column(8)]
+    root = {c: c for c in comp}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    found = []
+    for i, j in _pairs(rows, percent, sigmas):
+        for k in j.tolist():
+            a, b = find(comp[i]), find(comp[k])
+            if a != b and _similar(sets[i], sets[k], percent):
+                root[a] = b
+                found.append((max(cid[i], cid[k]), min(cid[i], cid[k])))
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["u", "v"]) if found else None
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -266,14 +280,15 @@ def _best(met: DataFrame) -> DataFrame:
     return top.select("u", (-F.col("top.low")).alias("v"))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 2, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 2, percent: int = 80,
+                    sigmas: float | None = SIGMAS) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links) and
     kept (one row of each component), one row per input row. ``words`` per shingle;
-    linked from ``percent`` of intersection over union up."""
-    return _grouped(docs, doc_id, text, words, percent, F.lit(None).cast("binary")).drop("sha")
+    linked from ``percent`` of intersection over union up. ``sigmas`` as above; None is exact."""
+    return _grouped(docs, doc_id, text, words, percent, F.lit(None).cast("binary"), sigmas).drop("sha")
 
 
-def _grouped(docs: DataFrame, doc_id: str, text: str, words: int, percent: int, sha: Column) -> DataFrame:
+def _grouped(docs: DataFrame, doc_id: str, text: str, words: int, percent: int, sha: Column, sigmas: float | None = SIGMAS) -> DataFrame:
     """doc_id, sha (as given), n_shingles, component_id and kept, one row per input row."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                        F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)).alias("row"), F.col(text).cast("string").alias("_text"))
@@ -296,23 +311,13 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, words: int, percent: int,
     links = _confirm(_best(_met(first)), sets, percent)
     spanning = _spanning(members, components(links.where("linked")))
     sets = cut_lineage(sets.join(spanning.select("cid").distinct(), "cid"), "sets")  # all that is still open
-    fine = sets.mapInArrow(_fine, "cid long, bits binary")
+    fine = sets.mapInArrow(_fine, "cid long, bits binary, n long")
     fine = cut_lineage(fine.join(classes.select("cid", "sig"), "cid"), "fine")
-    quick = fine.withColumn("bits", F.substring("bits", 1, QUICK // 8))
-    for _ in range(ROUNDS):
-        near = (_dealt(spanning, quick).drop("sig").mapInArrow(_blocks(_nearest, percent), "u long, v long, apart long")
-                .groupBy("u").agg(F.min(F.struct("apart", "v")).alias("top")).select("u", F.col("top.v").alias("v")))
-        near = near.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        found = _confirm(near.join(links.select("u", "v"), ["u", "v"], "left_anti"), sets, percent)
-        links = links.unionByName(found)
-        new, tried = found.agg(F.count_if("linked"), F.count(F.lit(1))).first()
-        if not new:
-            break
-        spanning = _spanning(members, components(links.where("linked")))
-        if new * 100 < tried:  # the next round would link next to none
-            break
-    cross = _dealt(spanning, fine).mapInArrow(_blocks(_apart, percent), "u long, v long").distinct()
-    links = links.unionByName(_confirm(cross.join(links.select("u", "v"), ["u", "v"], "left_anti"), sets, percent))
+    row = "block long, key long, side int, cid long, comp long"
+    needed = cut_lineage(_dealt(spanning, fine).mapInArrow(_blocks(_needed, percent, sigmas), row), "needed")
+    joined = (_sorted(needed.join(fine, "cid").join(sets, "cid"), "bits", "n", "sig", "set")
+              .mapInArrow(_blocks(_joining, percent, sigmas), "u long, v long"))
+    links = links.unionByName(cut_lineage(joined.withColumn("linked", F.lit(True)), "joined"))
 
     comps = components(links.where("linked")).withColumnRenamed("id", "cid")
     of_class = (classes.select("cid", "mark", "first").join(comps, "cid", "left")
@@ -327,17 +332,23 @@ def _grouped(docs: DataFrame, doc_id: str, text: str, words: int, percent: int,
 
 
 def _dealt(spanning: DataFrame, fine: DataFrame) -> DataFrame:
-    """(block, key, side, cid, comp, bits, sig) of the open buckets, dealt and sorted
-    by block. A bucket of more than BLOCK_ROWS rows is dealt block against block."""
-    blocks = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
-    mine = F.pmod(F.xxhash64("cid"), blocks).cast("int")
-    rows = (spanning.select("key", "cid", "comp", blocks.alias("blocks"), mine.alias("mine"))
+    """(block, key, side, cid, comp, bits, n, sig) of the open buckets, dealt and sorted
+    by block. A bucket over BLOCK_ROWS or BLOCK_BYTES is dealt block against block."""
+    weight = F.sum("n").alias("sum_n")
+    heavy = spanning.join(fine.select("cid", "n"), "cid").groupBy("key").agg(weight)
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK_ROWS, 8 * F.col("sum_n") / BLOCK_BYTES)).cast("int")
+    mine = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
+    rows = (spanning.join(heavy, "key").select("key", "cid", "comp", blocks.alias("blocks")).withColumn("mine", mine)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .join(fine, "cid"))
     low, high = F.least("mine", "other"), F.greatest("mine", "other")
     side = F.when(low == high, 2).when(F.col("mine") == low, 0).otherwise(1)
-    dealt = rows.select(F.xxhash64("key", low, high).alias("block"), "key", side.alias("side"), "cid", "comp", "bits", "sig")
-    return dealt.repartition("block").sortWithinPartitions("block", "key")
+    return _sorted(rows.withColumns({"block": F.xxhash64("key", low, high), "side": side}), "bits", "n", "sig")
+
+
+def _sorted(rows: DataFrame, *more: str) -> DataFrame:
+    return (rows.select("block", "key", "side", "cid", "comp", *more)
+            .repartition("block").sortWithinPartitions("block", "key"))
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 2, percent: int = 80) -> DataFrame:

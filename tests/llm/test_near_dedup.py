@@ -56,6 +56,33 @@ def test_families_against_brute_force(docs, writing, words):
     assert got(X.near_duplicates(docs(rows), words=words)) == brute(rows, words)
 
 
+def test_a_family_just_under_the_threshold_makes_rows_in_proportion(docs, writing, monkeypatch):
+    """200 texts about 0.77 alike, where nearly all pairs meet: neither pairs looked at
+    between tasks nor links given out grow with their number."""
+    base = writing(300, 77)
+    rows = [(k, edited(base, 20, 500 + k)) for k in range(200)]
+    made, cut = defaultdict(int), X.cut_lineage
+
+    def counted(df, name):
+        out = cut(df, name)
+        made[name] += out.count()
+        return out
+
+    monkeypatch.setattr(X, "cut_lineage", counted)
+    exact = got(X.near_duplicates(docs(rows), sigmas=None))
+    assert exact == brute(rows) == got(X.near_duplicates(docs(rows)))
+    n = len(rows)
+    assert made["links"] <= 2 * n and made["joined"] <= 2 * n and made["needed"] <= 2 * X.CHUNKS * X.WIDTH * n
+
+
+def test_heavy_buckets_are_dealt_block_against_block(docs, writing, monkeypatch):
+    monkeypatch.setattr(X, "BLOCK_ROWS", 5)
+    monkeypatch.setattr(X, "BLOCK_BYTES", 4000)
+    base = writing(150, 78)
+    rows = [(k, edited(base, 3 + k % 9, 900 + k)) for k in range(60)]
+    assert got(X.near_duplicates(docs(rows))) == brute(rows)
+
+
 def test_chains_that_need_several_leaders(docs, writing):
     """Neighbours in the chain are linked, ends are far apart."""
     words, rows = writing(200, 5).split(), []
