@@ -154,8 +154,11 @@ class Detector:
                 if m.end(group) - m.start(group) >= least:
                     found.append((m.start(), order, kind, m.end()))
         random: list[tuple[int, int]] = []
+        base, at, reach = sorted(found), 0, 0  # reach: where the furthest base span that starts by now ends
         for start, end in candidates(text):
-            if any(s <= start and end <= e for s, _, _, e in found):
+            while at < len(base) and base[at][0] <= start:
+                reach, at = max(reach, base[at][3]), at + 1
+            if end <= reach:
                 continue
             if (e := self.evidence(text[start:end])) and e[1] >= self.least.get(e[0], MOST_NATS * BINS_PER_NAT + 1):
                 if random and start < random[-1][1]:  # overlapping parts are one span
