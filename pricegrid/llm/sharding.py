@@ -5,7 +5,7 @@ follows the bytes of the table, so a bucket's texts take about ``BUCKET_BYTES``.
 Spark's shuffle is the external store. Pass two puts each bucket in a canonical
 order (a second seeded hash, then doc_id and the text's hash), draws a seeded
 Fisher-Yates permutation of its row numbers and writes the rows in that order.
-Counting rows per bucket beforehand gives each bucket its first place in the
+Each bucket is one partition. Counting rows per bucket beforehand gives each bucket its first place in the
 whole order; place ``p`` goes to shard ``p mod shards`` at slot ``p div shards``,
 so shard sizes differ by one row at most (law ``rows``) and slots have no gap.
 
@@ -15,8 +15,8 @@ that repeat one doc_id and text, costs disk but not memory. The order depends on
 seed, doc_id, text and the bucket count alone: a lost task is redone alike.
 
 Edge cases: null text is size 1 and crc32 of no bytes; null doc_ids and repeated
-rows are rows like any other; column names that clash with ``shard`` or ``slot`` are
-refused; an empty table gives an empty result.
+rows are rows like any other; column names that clash with ``shard``, ``slot`` or an
+inner column are refused; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -66,19 +66,18 @@ def shuffle(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = 0, doc
     """Write ``docs`` to ``path`` as ``shards`` folders ``shard=<k>``, each row with
     its ``slot``; a file is sorted by slot and a bucket's slots are one range.
     Returns the written table."""
-    if clash := {"shard", "slot", "_place", "_bucket", "_first", "_count"} & set(docs.columns):
+    if clash := {"shard", "slot", "_place", "_bucket", "_order", "_first", "_count"} & set(docs.columns):
         raise ValueError(f"columns {sorted(clash)} are the operator's own")
     spark = docs.sparkSession
     body = F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
     total = docs.agg(F.sum(size(text))).first()[0] or 0
     buckets = int(max(1, -(-total // bucket_bytes)))
-    keyed = docs.withColumns({"_bucket": F.pmod(F.xxhash64(F.lit(seed), F.col(doc_id), body), F.lit(buckets)),
+    keyed = docs.withColumns({"_bucket": F.pmod(F.xxhash64(F.lit(seed), F.col(doc_id), body), F.lit(buckets)).cast("int"),
                               "_order": F.xxhash64(F.lit(seed + 1), F.col(doc_id), body)})
     counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_count"))  # a row per bucket of BUCKET_BYTES
     first = F.sum("_count").over(Window.orderBy("_bucket")) - F.col("_count")
-    # broadcast: 24 bytes for each bucket_bytes of text, a millionth of the input
-    rows = (keyed.join(F.broadcast(counts.withColumn("_first", first)), "_bucket")
-            .repartition(buckets, "_bucket").sortWithinPartitions("_bucket", "_order", doc_id)
+    rows = (keyed.join(counts.withColumn("_first", first), "_bucket")
+            .repartitionById(buckets, "_bucket").sortWithinPartitions("_bucket", "_order", doc_id)
             .select("_bucket", "_first", "_count", *docs.columns))
     schema = StructType([StructField("_place", LongType()), *docs.schema.fields])
     placed = (rows.mapInArrow(_permuted(seed), schema)

@@ -43,7 +43,8 @@ def test_size_and_edges(docs):
     df = docs([(1, None), (2, ""), (3, "é")])
     assert [r[0] for r in df.orderBy("doc_id").select(X.size()).collect()] == [1, 1, 3]
     assert placed(docs([])).count() == 0
-    with pytest.raises(ValueError):
-        placed(df.withColumn("slot", F.lit(1)))
+    for name in ("slot", "_order", "_bucket"):
+        with pytest.raises(ValueError):
+            placed(df.withColumn(name, F.lit(1)))
     crc = df.where("doc_id = 3").select(F.crc32(F.col("text").cast("binary"))).first()[0]
     assert crc == zlib.crc32("é".encode())
