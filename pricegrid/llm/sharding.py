@@ -32,6 +32,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from pricegrid.session import scratch_path
 
 BUCKET_BYTES = 32 << 20
+BROADCAST_BUCKETS = 1 << 17  # a row of 24 bytes each; beyond, the join shuffles
 SHARDS = 8
 LAW = "rows"
 
@@ -76,7 +77,8 @@ def shuffle(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = 0, doc
                               "_order": F.xxhash64(F.lit(seed + 1), F.col(doc_id), body)})
     counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_count"))  # a row per bucket of BUCKET_BYTES
     first = F.sum("_count").over(Window.orderBy("_bucket")) - F.col("_count")
-    rows = (keyed.join(counts.withColumn("_first", first), "_bucket")
+    firsts = counts.withColumn("_first", first)
+    rows = (keyed.join(F.broadcast(firsts) if buckets <= BROADCAST_BUCKETS else firsts, "_bucket")
             .repartitionById(buckets, "_bucket").sortWithinPartitions("_bucket", "_order", doc_id)
             .select("_bucket", "_first", "_count", *docs.columns))
     schema = StructType([StructField("_place", LongType()), *docs.schema.fields])

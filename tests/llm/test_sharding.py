@@ -25,9 +25,13 @@ def test_every_row_once_with_equal_shards(docs, writing):
     assert order != sorted(order)
 
 
-def test_order_depends_on_rows_and_seed_alone(docs, writing):
+def test_order_depends_on_rows_and_seed_alone(docs, writing, monkeypatch):
     df = docs([(i, writing(5, i)) for i in range(150)])
     key = lambda d: sorted((r.doc_id, r.shard, r.slot) for r in d.collect())
+    usual = key(placed(df))
+    with monkeypatch.context() as m:
+        m.setattr(X, "BROADCAST_BUCKETS", 0)
+        assert key(placed(df)) == usual
     assert key(placed(df)) == key(placed(df.repartition(5))) != key(placed(df, seed=1))
     assert {r.shard for r in placed(df, shards=3).collect()} == {0, 1, 2}
 
