@@ -6,18 +6,21 @@ pages that an allow rule covers and follows links (personalised PageRank); distr
 starts at hosts with blocked pages and follows links backwards, from a page to those
 that link to it. Both start with a total of 1 and are compared per host: block if
 distrust exceeds trust by more than ``THRESHOLD``. Scores that differ by less than
-``SAME`` of the larger one are equal, however small the table makes both; the SQL
-twin rounds the difference to 12 decimals instead.
+``SAME`` of the larger one are equal, however small the table makes both.
 
 Edges run between hosts and are weighted by the number of pages that link; links
 within a host and relative ones add none. Everything is DataFrame code: links are
-combined to host pairs before the shuffle, a round is one join and one partial sum,
-and every ``CUT`` rounds the scores become a Parquet table in the shared checkpoint
-folder. Scores only grow from round to round; they are final when no host's grew by
-more than ``TOLERANCE`` of itself, so hosts at any distance count (about 160 rounds
-and one for each link on the longest way); the SQL twin stops after ``ROUNDS`` rounds.
-As in the twin, mass of hosts without links out (for distrust: in) is not dealt again,
-so the two totals fall by different shares before they are compared.
+combined to host pairs before the shuffle and written once, so html is parsed once; a
+round is one join and one partial sum, and every ``CUT`` rounds the scores become a
+Parquet table in the shared checkpoint folder. Scores only grow from round to round;
+they are final when no host's grew by more than ``TOLERANCE`` of itself, so hosts at any
+distance count (about 160 rounds and one for each link on the longest way).
+
+Mass of hosts without links out (for distrust: in) goes back to the start hosts, in the
+proportion they start with. That multiplies every score of a side by one number, so the
+rounds leave it out and each side is brought to a total of 1 at the end. The SQL twin
+sums the mass of the ways of each length, up to ``LONGEST`` links, instead of iterating
+the scores.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, fits no
 rule and is allowed by the method unless ``empty`` says otherwise; null html has no
@@ -34,7 +37,8 @@ from pyspark.sql import functions as F
 
 from pricegrid.session import cut_lineage
 
-DAMPING, ROUNDS, CUT = 0.85, 12, 4
+DAMPING, CUT = 0.85, 8
+LONGEST = 400
 THRESHOLD = 0.0
 SAME, TOLERANCE = 1e-9, 1e-11
 #: Fixed rules: verdict, host, start of the path.
@@ -82,7 +86,8 @@ def edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
 
 def propagate(starts: DataFrame, links: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """(host, trust, distrust) from (host, trust0, distrust0), each of total 1, and
-    edges (src, dst, pages)."""
+    edges (src, dst, pages). Each score has a total of 1, or 0 without starts."""
+    links = cut_lineage(links, "links")
     out = links.groupBy("src").agg(F.sum("pages").alias("all_out"))
     into = links.groupBy("dst").agg(F.sum("pages").alias("all_in"))
     shares = links.join(out, "src").join(into, "dst")
@@ -95,7 +100,7 @@ def propagate(starts: DataFrame, links: DataFrame, damping: float = DAMPING, tol
     nodes = cut_lineage(nodes.groupBy("host").agg(F.sum("trust0").alias("trust0"), F.sum("distrust0").alias("distrust0")), "hosts")
     start = lambda c: (1 - damping) * F.col(c)
     if ways.isEmpty():
-        return nodes.select("host", start("trust0").alias("trust"), start("distrust0").alias("distrust"))
+        return nodes.select("host", F.col("trust0").alias("trust"), F.col("distrust0").alias("distrust"))
     base = nodes.select("*", start("trust0").alias("trust"), start("distrust0").alias("distrust"))
     while True:
         at = base
@@ -109,7 +114,8 @@ def propagate(starts: DataFrame, links: DataFrame, damping: float = DAMPING, tol
         at = cut_lineage(at, "trust")
         grew = lambda c: F.col(c) - F.col(f"{c}_was") > tolerance * F.col(c)
         if at.where(grew("trust") | grew("distrust")).isEmpty():
-            return at.select("host", "trust", "distrust")
+            total = at.agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")).first()
+            return at.select("host", *[(F.col(c) / F.lit(total[c] or 1.0)).alias(c) for c in ("trust", "distrust")])
         base = at.drop("trust_was", "distrust_was")
 
 
@@ -137,12 +143,8 @@ def oracle_sql(rules: Sequence[tuple[str, str, str]] = RULES) -> str:
     fits = lambda of, start: f"(host = '{of}' OR ends_with(host, '.{of}')) AND starts_with(path, '{start}')"
     case = lambda pick: "CASE " + " ".join(f"WHEN {fits(of, start)} THEN '{pick(v, of + start)}'" for v, of, start in order) + " END"
     lower = lambda x: f"translate({x}, '{_UPPER}', '{_LOWER}')"
-    steps = "".join(f""",
-        s{i} AS (SELECT n.host, {1 - DAMPING} * trust0 + {DAMPING} * coalesce(t, 0) AS trust, {1 - DAMPING} * distrust0 + {DAMPING} * coalesce(d, 0) AS distrust
-            FROM nodes n LEFT JOIN (SELECT w.dst AS host, sum(trust * give) AS t, sum(distrust * blame) AS d
-                FROM s{i - 1} JOIN ways w ON w.src = s{i - 1}.host GROUP BY w.dst) m ON m.host = n.host)""" for i in range(1, ROUNDS + 1))
     return rf"""
-        WITH parted AS (
+        WITH RECURSIVE parted AS (
             SELECT page_id, html, {lower("regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1)")} AS host,
                 regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path FROM pages),
         judged AS (SELECT *, {case(lambda v, rule: rule)} AS rule, {case(lambda v, rule: v)} AS ruled FROM parted),
@@ -151,12 +153,17 @@ def oracle_sql(rules: Sequence[tuple[str, str, str]] = RULES) -> str:
             WHERE link LIKE '//%' OR regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://')),
         edges AS (SELECT src, dst, count(*) AS n FROM linked WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY ALL),
         shares AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS give, n / sum(n) OVER (PARTITION BY dst) AS blame FROM edges),
-        ways AS (SELECT src, dst, give, 0 AS blame FROM shares UNION ALL SELECT dst, src, 0, blame FROM shares),
+        ways AS (SELECT src, dst, give, 0::DOUBLE AS blame FROM shares UNION ALL SELECT dst, src, 0::DOUBLE, blame FROM shares),
         seeds AS (SELECT host, count(*) FILTER (ruled = 'allow') AS a, count(*) FILTER (ruled = 'block') AS b FROM judged WHERE host <> '' GROUP BY host),
         starts AS (SELECT host, coalesce(a / nullif(sum(a) OVER (), 0), 0) AS trust0, coalesce(b / nullif(sum(b) OVER (), 0), 0) AS distrust0
-            FROM seeds UNION ALL SELECT DISTINCT src, 0, 0 FROM ways),
+            FROM seeds UNION ALL SELECT DISTINCT src, 0::DOUBLE, 0::DOUBLE FROM ways),
         nodes AS (SELECT host, sum(trust0) AS trust0, sum(distrust0) AS distrust0 FROM starts GROUP BY host),
-        s0 AS (SELECT host, trust0 AS trust, distrust0 AS distrust FROM nodes){steps}
+        walks AS (SELECT 0 AS links, host, trust0 AS trust, distrust0 AS distrust FROM nodes
+            UNION ALL SELECT any_value(links) + 1, w.dst, {DAMPING} * sum(trust * give), {DAMPING} * sum(distrust * blame)
+            FROM walks JOIN ways w ON w.src = walks.host WHERE links < {LONGEST} AND (trust * give > 0 OR distrust * blame > 0) GROUP BY w.dst),
+        sums AS (SELECT host, sum(trust) AS trust, sum(distrust) AS distrust FROM walks GROUP BY host),
+        scores AS (SELECT host, coalesce(trust / nullif(sum(trust) OVER (), 0), 0) AS trust,
+            coalesce(distrust / nullif(sum(distrust) OVER (), 0), 0) AS distrust FROM sums)
         SELECT j.page_id, j.host, j.path, j.rule,
-            coalesce(j.ruled, CASE WHEN round(s.distrust - s.trust, 12) > {THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict
-        FROM judged j LEFT JOIN s{ROUNDS} s ON s.host = j.host"""
+            coalesce(j.ruled, CASE WHEN s.distrust - s.trust - {THRESHOLD} > {SAME} * greatest(s.trust, s.distrust) THEN 'block' ELSE 'allow' END) AS verdict
+        FROM judged j LEFT JOIN scores s ON s.host = j.host"""

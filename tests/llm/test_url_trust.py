@@ -70,12 +70,34 @@ def test_scores_against_a_dense_solve(spark):
         weights[a, b] = w
     for side, w in enumerate((weights, weights.T)):
         seed = np.array([starts.get(h, (0.0, 0.0))[side] for h in range(n)])
-        moves = np.array([row / (row.sum() or 1) for row in w])
+        moves = np.array([row / row.sum() if row.sum() else seed for row in w])  # without links: back to the seeds
         want = np.linalg.solve(np.eye(n) - X.DAMPING * moves.T, (1 - X.DAMPING) * seed)
         got = np.array([found[h][side] for h in range(n)])
         assert np.allclose(got, want, rtol=1e-9, atol=0)
+        assert np.isclose(got.sum(), 1)
     assert found[0][1] > 0  # 30 links from the next blocked host
 
 
+def test_long_ways_against_sql(spark):
+    """Chains of 30 hosts, rings and random links, with hosts that only one side reaches."""
+    rng, link = np.random.default_rng(3), lambda to: f'<a href="http://{to}/">x</a>'
+    name = lambda k: f"h{k}." + ("com" if k % 9 == 0 else "net" if k % 2 else "org")
+    rows = [(f"http://{name(k)}/" + ("fr/" if k in (29, 61) else ""), link(name(k + 1)) if k not in (29, 59) else None) for k in range(90)]
+    rows += [(f"http://{name(a)}/", link(name(b)) * 2) for a, b in rng.integers(30, 140, (160, 2)).tolist()]
+    got = {r.page_id: r.verdict for r in X.judge(pages(spark, rows)).collect()}
+    con = duckdb.connect()
+    con.register("pages", pd.DataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], columns=["page_id", "url", "html"]))
+    want = dict(con.execute(f"SELECT page_id, verdict FROM ({X.oracle_sql()})").fetchall())
+    assert got == want and 30 < sum(v == "block" for v in want.values()) < len(rows) - 30
+
+
+def test_html_is_parsed_once(spark, monkeypatch):
+    plans = []
+    cut = X.cut_lineage
+    monkeypatch.setattr(X, "cut_lineage", lambda df, name: (plans.append((name, df._jdf.queryExecution().executedPlan().toString())), cut(df, name))[1])
+    X.judge(pages(spark, graph()))
+    assert [n for n, p in plans if "regexp_extract_all" in p] == ["links"]
+
+
 def test_empty_table(spark):
     assert X.judge(pages(spark, [])).count() == 0
