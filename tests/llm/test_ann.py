@@ -78,3 +78,42 @@ def test_a_row_repeated_seven_times_counts_once(table):
     df = table([(0, one)] * 7 + [(i, one) for i in range(1, 10)] + [(50, one)] * 2 + vectors(30, 4, 2)[20:])
     found = got(X.nearest(df, df.where("vec_id % 50 = 0")))
     assert [j for j, _ in found[0]] == [1, 2, 3, 4, 5] and [j for j, _ in found[50]] == [0, 1, 2, 3, 4]
+
+
+def clustered(n, dims, seed=4):
+    """Tight clusters of 20 around far points, all moved by one long vector."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(n // 20, dims)) + 0.5
+    return [(i, (centres[i // 20] + 0.1 * rng.normal(size=dims)).tolist()) for i in range(n)]
+
+
+def test_queries_in_tight_clusters_are_closed_by_look_ups(table, monkeypatch):
+    rows = clustered(2000, 64) + [(2000 + i, v) for i, v in vectors(100, 64, 5)]
+    df, open_ = table(rows), []
+    wide = X._wide
+    monkeypatch.setattr(X, "_wide", lambda index, asked, *a: (open_.append(asked.count()), wide(index, asked, *a))[1])
+    found, want = got(X.nearest(df, df.where("vec_id % 50 = 0"))), brute(rows, set(range(0, 2100, 50)))
+    assert set(found) == set(want) and 2 <= open_[0] <= 12  # 42 queries, 2 of them outside the clusters
+    hits = [len({j for j, _ in found[q]} & {j for j, _ in want[q]}) for q in want]
+    assert sum(hits) >= 0.97 * 5 * len(want)
+    exact = {q: dict(brute(rows, {q}, len(rows))[q]) for q in list(want)[:5]}
+    assert all(abs(exact[q][j] - s) < 1e-12 for q in exact for j, s in found[q])
+
+
+def test_rings_retrieve_every_code_within_the_distance_they_cover(spark):
+    rng = np.random.default_rng(6)
+    rows = clustered(300, 64, 7)
+    rotation = X.learn(np.array([v for _, v in rows]))
+    codes = rotation.codes(np.array([v for _, v in rows]))
+    flips = [int(sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 14), replace=False))) for _ in rows]
+    codes = np.array([int(c) ^ f for c, f in zip(codes[np.arange(300) // 20 * 20], flips)], np.uint64)
+    df = spark.createDataFrame([(i, i, v, int(c), 0.0) for (i, v), c in zip(rows, codes.view(np.int64))],
+                               "vec_id long, rid long, vector array<double>, code long, along double")
+    got = {e: {(r.query_id, r.vec_id) for r in X._look_up(df, df, rotation, e, 11).collect()} for e in range(3)}
+    apart = np.bitwise_count(codes[:, None] ^ codes[None, :])
+    parts = np.stack([np.bitwise_count((codes[:, None] ^ codes[None, :]) >> np.uint64(16 * j) & np.uint64(65535)) for j in range(4)])
+    off = ~np.eye(300, dtype=bool)
+    for e in range(3):
+        assert got[e] == {(int(a), int(b)) for a, b in np.argwhere((parts == e).any(0) & (apart <= 11) & off)}
+    within = {(int(a), int(b)) for a, b in np.argwhere((apart <= 11) & off)}
+    assert got[0] | got[1] | got[2] == within and len(within) > 1000
