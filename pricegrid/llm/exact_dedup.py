@@ -8,11 +8,13 @@ until a document has one name. Two texts with the same number of rounds have the
 same last name exactly when they are equal: a name stands for one byte string,
 never for a hash of it.
 
-How it runs: the text crosses the network once. Each Arrow batch first collapses
-its own equal blocks into one row with a list of places (so a block that a third
-of the corpus shares arrives as one row per batch, not per document), the rows
-are dealt by block and sorted inside their partition, and the numbering streams
-over the sorted rows with one block in memory. All later rounds move integers.
+How it runs: the text crosses the network once. A task collapses the equal blocks of
+every ``WINDOW`` bytes of text into one row with a list of places, which is written.
+Only the block and the row's number are dealt by block and sorted inside their
+partition; the numbering streams over them with one block in memory and gives each row
+its name. The places, which hold a row per document, never move by block: they take
+their names by row number, so a block that a third of the corpus shares costs its task
+one row per window and its places stay spread. All later rounds move integers.
 Every round is a Parquet table in the shared checkpoint folder, so names never
 change when an executor is lost.
 
@@ -25,6 +27,7 @@ gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +41,7 @@ from pricegrid.llm import words as W
 from pricegrid.session import cut_lineage
 
 BLOCK = 4096
+WINDOW, WINDOW_ROWS = 16 << 20, 1 << 16
 
 _TO_SPACE = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 _PLACE = "rid long, pos long, n long, doc_id long, sha binary"
@@ -53,21 +57,33 @@ def normalise(text: bytes) -> bytes:
     return text
 
 
-def _collapsed(keys: pa.Array, places: pa.StructArray) -> pa.RecordBatch:
-    """One row per distinct key with the list of its places."""
+def _collapsed(keys: pa.Array, places: pa.StructArray, first: int) -> pa.RecordBatch:
+    """One row per distinct key with the list of its places, numbered from ``first``."""
     coded = keys.dictionary_encode()
     codes = coded.indices.to_numpy()
     order = np.argsort(codes, kind="stable")
     ends = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(coded.dictionary)))])
     lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), places.take(pa.array(order)))
-    return pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.binary()), lists], ["key", "places"])
+    numbers = pa.array(np.arange(first, first + len(coded.dictionary)))
+    return pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.binary()), numbers, lists], ["key", "row", "places"])
+
+
+def _windows(parts: Iterator[tuple[pa.Array, pa.StructArray]]) -> Iterator[pa.RecordBatch]:
+    """Collapses the (keys, places) of a task, as many at a time as fill a window."""
+    row, keys, places = TaskContext.get().partitionId() << 33, [], []
+    for part, end in itertools.chain(((p, False) for p in parts), [(None, True)]):
+        if part is not None:
+            keys.append(part[0])
+            places.append(part[1])
+        if keys and (end or sum(k.nbytes for k in keys) >= WINDOW or sum(map(len, keys)) >= WINDOW_ROWS):
+            batch = _collapsed(pa.concat_arrays(keys), pa.concat_arrays(places), row)
+            row, keys, places = row + batch.num_rows, [], []
+            yield batch
 
 
 def _cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(rid, doc_id, text) rows to block rows."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    def blocks(batch: pa.RecordBatch) -> tuple[pa.Array, pa.StructArray]:
         keys, rows = [], []
         texts = batch.column(2).cast(pa.binary())
         for rid, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
@@ -77,21 +93,18 @@ def _cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows.append((rid, 0, n, doc, hashlib.sha256(text).digest()))
             rows.extend((rid, i, n, None, None) for i in range(1, n))
         columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), _PLACE_ARROW)]
-        places = pa.StructArray.from_arrays(columns, fields=list(_PLACE_ARROW))
-        yield _collapsed(pa.array(keys, pa.binary()), places)
+        return pa.array(keys, pa.binary()), pa.StructArray.from_arrays(columns, fields=list(_PLACE_ARROW))
+    return _windows(blocks(b) for b in batches if b.num_rows)
 
 
 def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, rid, pos, n, doc_id, sha) rows to one row per distinct key of the batch."""
-    for batch in batches:
-        if batch.num_rows:
-            places = pa.StructArray.from_arrays([batch.column(i).cast(f.type) for i, f in enumerate(_PLACE_ARROW, 1)],
-                                                fields=list(_PLACE_ARROW))
-            yield _collapsed(batch.column(0), places)
+    """(key, rid, pos, n, doc_id, sha) rows to one row per distinct key of a window."""
+    return _windows((b.column(0), pa.StructArray.from_arrays([b.column(i).cast(f.type) for i, f in enumerate(_PLACE_ARROW, 1)],
+                                                             fields=list(_PLACE_ARROW))) for b in batches if b.num_rows)
 
 
 def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key to (name, place) rows; equal keys get equal names."""
+    """(key, row) sorted by key to (name, row); equal keys get equal names."""
     name, last = (TaskContext.get().partitionId() << 33) - 1, None
     for batch in batches:
         if not batch.num_rows:
@@ -103,17 +116,15 @@ def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new[1:] = pc.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1)).to_numpy(zero_copy_only=False)
         names = name + np.cumsum(new)
         name, last = int(names[-1]), keys[-1].as_py()
-        lists = batch.column(1)
-        counts = pc.list_value_length(lists).to_numpy()
-        places = lists.flatten()
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(names, counts)), *places.flatten()],
-                                         ["name", *(f.name for f in _PLACE_ARROW)])
+        yield pa.RecordBatch.from_arrays([pa.array(names), batch.column(1)], ["name", "row"])
 
 
 def _named(collapsed: DataFrame, label: str) -> DataFrame:
-    rows = (collapsed.repartition("key").sortWithinPartitions("key")
-            .mapInArrow(_number, f"name long, {_PLACE}"))
-    return cut_lineage(rows, label)
+    """(name, place) rows of (key, row, places)."""
+    rows = cut_lineage(collapsed, f"{label}_rows")
+    names = (rows.select("key", "row").repartition("key").sortWithinPartitions("key")
+             .mapInArrow(_number, "name long, row long"))
+    return cut_lineage(rows.select("row", "places").join(names, "row").select("name", F.inline("places")), label)
 
 
 def identities(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -121,7 +132,7 @@ def identities(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     (rounds, name) exactly when their normalised texts are equal."""
     rows = docs.select(F.monotonically_increasing_id().alias("rid"),
                        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    blocks = f"key binary, places array<struct<{_PLACE.replace(' ', ':').replace(',:', ',')}>>"
+    blocks = f"key binary, row long, places array<struct<{_PLACE.replace(' ', ':').replace(',:', ',')}>>"
     level = _named(rows.mapInArrow(_cut_blocks, blocks), "blocks")
     rounds, done = 0, level.where("n = 1").select("rid", "doc_id", "sha", F.lit(0).alias("rounds"), "name")
     longest = level.agg(F.max("n")).first()[0] or 1

@@ -47,3 +47,24 @@ def test_deduplicate_keeps_columns_and_one_of_repeated_rows(docs):
 def test_empty_table(docs):
     assert X.groups(docs([])).count() == 0
     assert X.deduplicate(docs([])).count() == 0
+
+
+def test_a_block_of_a_third_of_the_rows_is_numbered_once_a_window(docs, writing, monkeypatch):
+    """The rows dealt by block are the distinct blocks of each task's windows, not the documents."""
+    tables = {}
+    cut = X.cut_lineage
+
+    def kept(df, name):
+        written = cut(df, name)
+        tables.setdefault(name, written)  # of the rounds of pairs the first
+        return written
+
+    monkeypatch.setattr(X, "cut_lineage", kept)
+    long = writing(2500, 7)
+    rows = [(i, long if i % 3 == 0 else writing(5, i)) for i in range(900)]
+    found = X.groups(docs(rows).repartition(4))
+    assert got(found) == brute(rows)
+    blocks = -(-len(long) // X.BLOCK)
+    dealt, places = tables["blocks_rows"], tables["blocks"]
+    assert places.count() == 600 + 300 * blocks and dealt.count() <= 600 + 4 * blocks
+    assert tables["pairs_rows"].count() <= 4 * 8 * blocks  # one a task and pair, not 300
