@@ -156,7 +156,8 @@ def _look_up(index: DataFrame, queries: DataFrame, rotation: Rotation, ring: int
               .select("part", _substring("code", "part").cast("int").bitwiseXOR(F.col("mask")).alias("substring"),
                       F.col("rid").alias("q"), F.col("code").alias("asked")))
     near = F.bit_count(F.col("code").bitwiseXOR(F.col("asked"))) <= radius
-    pairs = entries.join(probes, ["part", "substring"]).where(near).select("rid", "q").distinct()
+    # both sides grow with the table: never sent to the driver to be broadcast
+    pairs = entries.hint("merge").join(probes, ["part", "substring"]).where(near).select("rid", "q").distinct()
     mine = queries.select(F.col("rid").alias("q"), F.col("vec_id").alias("query_id"), F.col("vector").alias("v"), F.col("along").alias("w"))
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda x, y: x + y)
     middle = float(rotation.mean @ rotation.mean)
