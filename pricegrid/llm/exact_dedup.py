@@ -41,7 +41,7 @@ from pricegrid.llm import words as W
 from pricegrid.session import cut_lineage
 
 BLOCK = 4096
-WINDOW, WINDOW_ROWS = 16 << 20, 1 << 16
+WINDOW, WINDOW_ROWS = 4 << 20, 1 << 14
 
 _TO_SPACE = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 _PLACE = "rid long, pos long, n long, doc_id long, sha binary"
