@@ -20,6 +20,13 @@ def written(spark, scratch):
     return path
 
 
+def test_few_shuffle_partitions_do_not_make_large_tasks(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 10)  # the session shuffles to 4 partitions
+    assert session.tasks_of(spark, 1000) == 4
+    assert session.dealt_to(spark, 1000) == 50 and session.dealt_to(spark, 8) == 0
+    assert session.spread(spark.range(1000), 1000, "id").rdd.getNumPartitions() == 50
+
+
 @pytest.mark.parametrize("make", [tables.cluster, tables.cluster_interleaved])
 def test_clustered_files_hold_a_bounded_number_of_rows(spark, written, scratch, monkeypatch, make):
     monkeypatch.setattr(tables, "FILE_ROWS", 400)  # by bytes one file would do
