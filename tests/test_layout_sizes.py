@@ -43,3 +43,14 @@ def test_ranks_are_found_once_for_a_row(spark, written):
     assert p.count("CASE WHEN") <= 2 * 97 + 2 * edges  # eight times as many, were they found for each bit
     z = tables.interleaved(df, ["a", "b"])
     assert z.columns == ["a", "b", "id", "_z"] and z.select("_z").distinct().count() > 1000
+
+
+@pytest.mark.parametrize("multiset", [False, True])
+def test_equal_sides_are_not_shuffled_whole(spark, multiset):
+    a = spark.createDataFrame([(i, f"v{i}") for i in range(200)] + [(1, "v1"), (None, None)], "k int, v string")
+    b = a.where("k is null or k != 5").unionByName(spark.createDataFrame([(7, "w"), (5, None)], "k int, v string"))
+    got = compare.symmetric_diff_by_checksum(a, b, ["k"], ["v"], multiset)
+    assert got.columns == ["only_in_left", "only_in_right"]
+    assert tuple(got.first()) == tuple(compare.symmetric_diff(a, b, ["k", "v"], multiset).first()) == (1, 2)
+    same = compare.symmetric_diff_by_checksum(a, a, ["k"], ["v"], multiset)
+    assert tuple(same.first()) == (0, 0) and "Scan" not in plan(same).replace("LocalTableScan", "")
