@@ -45,6 +45,16 @@ def test_ranks_are_found_once_for_a_row(spark, written):
     assert z.columns == ["a", "b", "id", "_z"] and z.select("_z").distinct().count() > 1000
 
 
+def test_station_keys_are_dealt_before_they_are_told_apart(spark):
+    rows = [(f"{i % 7:064x}"[::-1], i) for i in range(20)] + [(None, None)]
+    df = spark.createDataFrame(rows, "station_key string, sale_price int").withColumn("sale_price", F.col("sale_price").cast("decimal(10,3)"))
+    got = registry._content(df)
+    assert tuple(got.first()) == (21, 7, 190.0) and got.columns == ["rows", "station_keys", "price_sum"]
+    p = plan(got)
+    subquery = p[p.rindex("REPARTITION_BY_COL"):]  # below the exchange nothing is combined
+    assert "REPARTITION_BY_COL" in p and "HashAggregate(keys=[key" not in subquery
+
+
 @pytest.mark.parametrize("multiset", [False, True])
 def test_equal_sides_are_not_shuffled_whole(spark, multiset):
     a = spark.createDataFrame([(i, f"v{i}") for i in range(200)] + [(1, "v1"), (None, None)], "k int, v string")
