@@ -64,3 +64,14 @@ def test_equal_sides_are_not_shuffled_whole(spark, multiset):
     assert tuple(got.first()) == tuple(compare.symmetric_diff(a, b, ["k", "v"], multiset).first()) == (1, 2)
     same = compare.symmetric_diff_by_checksum(a, a, ["k"], ["v"], multiset)
     assert tuple(same.first()) == (0, 0) and "Scan" not in plan(same).replace("LocalTableScan", "")
+
+
+def test_ranges_of_text_do_not_sort_all_rows(spark, scratch):
+    path = scratch("text")
+    values = F.when(F.col("id") % 5 != 0, F.concat(F.lit("v"), F.col("id") % 3))
+    spark.range(0, 300, 1, 3).select("id", values.alias("v")).write.parquet(path)
+    got = tables.file_ranges(spark, path, "v")
+    assert sorted((r["rows"], r["lo"], r["hi"]) for r in got.collect()) == [(100, "v0", "v2")] * 3
+    p = plan(got)
+    assert "SortAggregate" not in p[p.rindex("Exchange"):] and "HashAggregate" in p[p.rindex("Exchange"):]
+    assert sorted(r["rows"] for r in tables.file_ranges(spark, path, "id").collect()) == [100] * 3
